@@ -12,9 +12,8 @@ from tierstone.schema import HASH_COLUMNS
 
 def row_hash(columns: Sequence[str] = HASH_COLUMNS) -> Column:
     """MD5 over the text of ``columns``; NULL hashes like the empty string."""
-    return F.md5(
-        F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns])
-    )
+    fields = ", ".join(f"coalesce(cast({c} AS string), '')" for c in columns)
+    return F.expr(f"md5(concat_ws('|', {fields}))")
 
 
 def sample_order(key: str = "trade_id", seed: int = 42) -> Column:

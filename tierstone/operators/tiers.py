@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -68,15 +68,41 @@ def due_duplicates(hot: DataFrame, as_of: dt.date) -> DataFrame:
     )
 
 
-@dataclass(frozen=True)
 class Promotion:
-    """The outcome of one promotion run, as frames."""
+    """One promotion run as frames: aged rows move hot to warm to cold.
 
-    to_warm: DataFrame
-    to_cold: DataFrame
-    hot: DataFrame
-    warm: DataFrame
-    cold: DataFrame
+    Rows already in the next tier are not moved twice. Step two reads the warm
+    tier after step one has filled it. Nothing is computed before it is asked for.
+    """
+
+    def __init__(self, hot: DataFrame, warm: DataFrame, cold: DataFrame, as_of: dt.date):
+        self.hot_from, self.warm_from = cutoffs(as_of)
+        self._hot = with_partition_columns(hot)
+        self._warm = warm.select(*COLUMNS)
+        self._cold = cold.select(*COLUMNS)
+
+    @cached_property
+    def to_warm(self) -> DataFrame:
+        return new_trades(self._hot.where(older_than(self.hot_from)), self._warm)
+
+    @cached_property
+    def to_cold(self) -> DataFrame:
+        return new_trades(self._filled().where(older_than(self.warm_from)), self._cold)
+
+    def _filled(self) -> DataFrame:
+        return self._warm.unionByName(self.to_warm)
+
+    @property
+    def hot(self) -> DataFrame:
+        return without(self._hot, older_than(self.hot_from))
+
+    @property
+    def warm(self) -> DataFrame:
+        return without(self._filled(), older_than(self.warm_from))
+
+    @property
+    def cold(self) -> DataFrame:
+        return self._cold.unionByName(self.to_cold)
 
     def report(self) -> DataFrame:
         def line(df: DataFrame, step: str) -> DataFrame:
@@ -87,21 +113,5 @@ class Promotion:
         return line(self.to_warm, "HOT→WARM").unionByName(line(self.to_cold, "WARM→COLD"))
 
 
-def due_for_cold(warm: DataFrame, to_warm: DataFrame, warm_from: dt.date) -> DataFrame:
-    """Step two reads the warm tier after step one has filled it."""
-    return warm.unionByName(to_warm).where(older_than(warm_from))
-
-
 def promote_tiers(hot: DataFrame, warm: DataFrame, cold: DataFrame, as_of: dt.date) -> Promotion:
-    """Move aged rows hot to warm to cold; rows already there are not moved twice."""
-    hot_from, warm_from = cutoffs(as_of)
-    hot, warm, cold = with_partition_columns(hot), warm.select(*COLUMNS), cold.select(*COLUMNS)
-    to_warm = new_trades(hot.where(older_than(hot_from)), warm)
-    to_cold = new_trades(due_for_cold(warm, to_warm, warm_from), cold)
-    return Promotion(
-        to_warm=to_warm,
-        to_cold=to_cold,
-        hot=without(hot, older_than(hot_from)),
-        warm=without(warm.unionByName(to_warm), older_than(warm_from)),
-        cold=cold.unionByName(to_cold),
-    )
+    return Promotion(hot, warm, cold, as_of)

@@ -313,15 +313,60 @@ def _profile(source: DataFrame, target: DataFrame) -> DataFrame:
     )
 
 
-def _count_mismatches(profile: DataFrame, key: str) -> DataFrame:
-    sides = profile.groupBy(key).agg(
-        F.coalesce(F.sum(on("S", F.col("rows"))), F.lit(0)).alias("src"),
-        F.coalesce(F.sum(on("T", F.col("rows"))), F.lit(0)).alias("tgt"),
+def _compared(profile: DataFrame) -> DataFrame:
+    """One row with everything levels 2 to 4 compare.
+
+    Grouping sets turn the profile into totals, classes and days at once, so
+    either side is scanned a single time for all of these checks.
+    """
+
+    def total(side: str, column: str, dtype: str = "bigint") -> Column:
+        return F.sum(on(side, F.col(column))).cast(dtype)
+
+    measures = {
+        "src_rows": F.coalesce(total("S", "rows"), F.lit(0)),
+        "tgt_rows": F.coalesce(total("T", "rows"), F.lit(0)),
+        "src_notional": total("S", "notional", MONEY),
+        "tgt_notional": total("T", "notional", MONEY),
+        "src_quantity": total("S", "quantity", MONEY),
+        "tgt_quantity": total("T", "quantity", MONEY),
+        "src_min": F.min(on("S", F.col("trade_date"))),
+        "tgt_min": F.min(on("T", F.col("trade_date"))),
+        "src_max": F.max(on("S", F.col("trade_date"))),
+        "tgt_max": F.max(on("T", F.col("trade_date"))),
+        "null_rows": F.coalesce(total("T", "null_rows"), F.lit(0)),
+        "bad_directions": F.coalesce(total("T", "bad_directions"), F.lit(0)),
+        "misplaced": F.coalesce(total("T", "misplaced"), F.lit(0)),
+    }
+    day, cls = F.col("day"), F.col("asset_class")
+    grouped = (
+        profile.withColumn("day", F.col("trade_date"))
+        .groupingSets([[], [cls], [day]], cls, day)
+        .agg(
+            F.grouping(cls).alias("not_class"),
+            F.grouping(day).alias("not_day"),
+            *[measure.alias(name) for name, measure in measures.items()],
+        )
     )
-    return sides.agg(
-        F.count_if(F.col("src") > 0).alias("src_keys"),
-        F.count_if(F.col("tgt") > 0).alias("tgt_keys"),
-        F.count_if(F.col("src") != F.col("tgt")).alias("mismatches"),
+    overall = (F.col("not_class") == 1) & (F.col("not_day") == 1)
+    differs = F.col("src_rows") != F.col("tgt_rows")
+    zero = {"src_rows", "tgt_rows", "null_rows", "bad_directions", "misplaced"}
+
+    def of_overall(name: str) -> Column:
+        value = F.max(F.when(overall, F.col(name)))
+        return (F.coalesce(value, F.lit(0)) if name in zero else value).alias(name)
+
+    def keyed(tag: str, kind: Column) -> list[Column]:
+        return [
+            F.count_if(kind & (F.col("src_rows") > 0)).alias(f"{tag}_src"),
+            F.count_if(kind & (F.col("tgt_rows") > 0)).alias(f"{tag}_tgt"),
+            F.count_if(kind & differs).alias(f"{tag}_mismatches"),
+        ]
+
+    return grouped.agg(
+        *[of_overall(name) for name in measures],
+        *keyed("class", F.col("not_class") == 0),
+        *keyed("day", F.col("not_day") == 0),
     )
 
 
@@ -335,30 +380,9 @@ def validate_partition(
 ) -> DataFrame:
     """The report of levels 2 to 5 for one month, one line per check.
 
-    Levels 2 to 4 share one small profile of both sides; sampled ids are looked
-    up in the whole target.
+    Sampled ids are looked up in the whole target.
     """
     src, tgt = month_window(source, year, month), month_partition(target, year, month)
-    profile = _profile(src, tgt)
-
-    def total(side: str, column: str, dtype: str = "bigint") -> Column:
-        return F.sum(on(side, F.col(column))).cast(dtype)
-
-    sums = profile.agg(
-        F.coalesce(total("S", "rows"), F.lit(0)).alias("src_rows"),
-        F.coalesce(total("T", "rows"), F.lit(0)).alias("tgt_rows"),
-        total("S", "notional", MONEY).alias("src_notional"),
-        total("T", "notional", MONEY).alias("tgt_notional"),
-        total("S", "quantity", MONEY).alias("src_quantity"),
-        total("T", "quantity", MONEY).alias("tgt_quantity"),
-        F.min(on("S", F.col("trade_date"))).alias("src_min"),
-        F.min(on("T", F.col("trade_date"))).alias("tgt_min"),
-        F.max(on("S", F.col("trade_date"))).alias("src_max"),
-        F.max(on("T", F.col("trade_date"))).alias("tgt_max"),
-        F.coalesce(total("T", "null_rows"), F.lit(0)).alias("null_rows"),
-        F.coalesce(total("T", "bad_directions"), F.lit(0)).alias("bad_directions"),
-        F.coalesce(total("T", "misplaced"), F.lit(0)).alias("misplaced"),
-    )
     col = F.col
     sums_agree = (
         same_within(col("src_notional"), col("tgt_notional"), TOLERANCE)
@@ -366,7 +390,14 @@ def validate_partition(
         & col("src_min").eqNullSafe(col("tgt_min"))
         & col("src_max").eqNullSafe(col("tgt_max"))
     )
-    totals = sums.select(
+
+    def keyed(check: str, tag: str) -> Column:
+        mismatches = col(f"{tag}_mismatches")
+        return _line(
+            4, check, verdict(mismatches == 0), col(f"{tag}_src"), col(f"{tag}_tgt"), mismatches
+        )
+
+    compared = _compared(_profile(src, tgt)).select(
         F.inline(
             F.array(
                 _line(
@@ -381,40 +412,27 @@ def validate_partition(
                 _line(3, "V3.2", verdict(col("null_rows") == 0), target=col("null_rows")),
                 _line(3, "V3.3", verdict(col("bad_directions") == 0), target=col("bad_directions")),
                 _line(3, "V3.4", verdict(col("misplaced") == 0), target=col("misplaced")),
+                keyed("V4.1", "class"),
+                keyed("V4.2", "day"),
             )
         )
     )
-
-    def keyed(check: str, key: str) -> DataFrame:
-        line = _line(
-            4, check, verdict(col("mismatches") == 0), col("src_keys"), col("tgt_keys"), col("mismatches")
-        )
-        return _count_mismatches(profile, key).select(F.inline(F.array(line)))
-
+    surplus = col("rows") - col("ids")
     unique = _key_counts(tgt).select(
-        F.inline(
-            F.array(
-                _line(
-                    2, "V2.2", verdict(col("rows") == col("ids")),
-                    target=col("rows"), delta=col("rows") - col("ids"),
-                )
-            )
-        )
+        F.inline(F.array(_line(2, "V2.2", verdict(surplus == 0), target=col("rows"), delta=surplus)))
     )
+    unmatched = col("mismatched_rows") + col("missing_in_target")
     hashes = sample_hash_check(source, target, sample_ids(src, sample_rows, seed)).select(
         F.inline(
             F.array(
                 _line(
-                    5, "V5.4",
-                    verdict((col("mismatched_rows") == 0) & (col("missing_in_target") == 0)),
-                    col("total_sampled"), col("matching_rows"),
-                    col("mismatched_rows") + col("missing_in_target"),
+                    5, "V5.4", verdict(unmatched == 0),
+                    col("total_sampled"), col("matching_rows"), unmatched,
                 )
             )
         )
     )
-    parts = [totals, unique, keyed("V4.1", "asset_class"), keyed("V4.2", "trade_date"), hashes]
-    return reduce(DataFrame.unionByName, parts).select(*REPORT)
+    return reduce(DataFrame.unionByName, [compared, unique, hashes]).select(*REPORT)
 
 
 def validate_all_partitions(source: DataFrame, target: DataFrame) -> DataFrame:

@@ -59,6 +59,14 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(target)] if fs.exists(target) else []
 
 
+def stored_bytes(spark: SparkSession, paths: list[str]) -> int:
+    total = 0
+    for path in paths:
+        fs, target = _filesystem(spark, path)
+        total += fs.getContentSummary(target).getLength()
+    return total
+
+
 def fingerprint(spark: SparkSession, paths: list[str]) -> str:
     """Changes when the size, file count or date of an input changes."""
     parts = []

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +13,35 @@ from tierstone.schema import COLUMNS, PARTITION_COLUMNS
 from tierstone.sources.storage import delete, exists, list_names, rename
 
 HIDDEN = ("_", ".")
+SHUFFLE_BYTES = 128 * 1024 * 1024
+ROW_EXPANSION = 3
+FILE_BYTES = "512m"
+
+
+@contextmanager
+def settings(spark: SparkSession, **values: str) -> Iterator[None]:
+    """Session settings for the queries planned inside, restored afterwards."""
+    names = {key: "spark.sql." + key.replace("__", ".") for key in values}
+    before = {name: spark.conf.get(name, None) for name in names.values()}
+    for key, value in values.items():
+        spark.conf.set(names[key], value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
+
+
+def enough_shuffle_partitions(spark: SparkSession, input_bytes: int) -> str:
+    """Shuffle partitions of about ``SHUFFLE_BYTES`` for that much Parquet.
+
+    Never fewer than the session asks for; adaptive execution merges the rest.
+    """
+    wanted = -(-input_bytes * ROW_EXPANSION // SHUFFLE_BYTES)
+    return str(max(wanted, int(spark.conf.get("spark.sql.shuffle.partitions"))))
 
 
 def laid_out(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -24,17 +55,46 @@ def laid_out(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.hint("rebalance", *keys).sortWithinPartitions(*keys, "counterparty_id", "trade_id")
 
 
-def _save(df: DataFrame, path: str, mode: str, keys: list[str]) -> None:
-    (
-        df.write.mode(mode)
-        .option("compression", "snappy")
-        .partitionBy(*keys)
-        .parquet(path)
-    )
+def _save(
+    df: DataFrame, path: str, mode: str, keys: list[str], id_filter: bool = False
+) -> None:
+    """Snappy Parquet by partition key, in files of a few hundred megabytes.
+
+    The advisory size is what a rebalanced task reads from the shuffle, which
+    is the upper bound of what it writes. ``id_filter`` adds a bloom filter per
+    row group, with which a lookup by id skips row groups that no range
+    statistics can exclude; it costs about a megabyte per row group.
+    """
+    writer = df.write.mode(mode).option("compression", "snappy")
+    if id_filter:
+        writer = writer.option("parquet.bloom.filter.enabled#trade_id", "true").option(
+            "parquet.bloom.filter.adaptive.enabled", "true"
+        )
+    with settings(df.sparkSession, adaptive__advisoryPartitionSizeInBytes=FILE_BYTES):
+        writer.partitionBy(*keys).parquet(path)
 
 
-def write_trades(df: DataFrame, path: str, keys: list[str] = PARTITION_COLUMNS) -> None:
-    _save(laid_out(df.select(*COLUMNS), keys), path, "errorifexists", keys)
+def write_trades(
+    df: DataFrame, path: str, keys: list[str] = PARTITION_COLUMNS, id_filter: bool = False
+) -> None:
+    _save(laid_out(df.select(*COLUMNS), keys), path, "errorifexists", keys, id_filter)
+
+
+def write_by_month(df: DataFrame, path: str) -> None:
+    """A flat table whose files hold few months each, in date order.
+
+    Date ranges then skip files and row groups by their statistics although
+    the table has no partition columns.
+    """
+    month = F.date_format("trade_date", "yyyyMM")
+    clustered = (
+        df.withColumn("_month", month)
+        .hint("rebalance", "_month")
+        .sortWithinPartitions("trade_date", "trade_id")
+        .drop("_month")
+    )
+    with settings(df.sparkSession, adaptive__advisoryPartitionSizeInBytes=FILE_BYTES):
+        clustered.write.option("compression", "snappy").parquet(path)
 
 
 def append_trades(df: DataFrame, path: str, keys: list[str] = PARTITION_COLUMNS) -> int:

@@ -2,13 +2,21 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import cached_property
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierstone.schema import ASSET_CLASSES, LEGACY_COLUMNS, LEGACY_SCHEMA
 from tierstone.sources.scans import read_legacy, read_trades, with_partition_columns
-from tierstone.sources.storage import build_once, fingerprint, workspace
-from tierstone.sources.writer import write_trades
+from tierstone.sources.storage import build_once, fingerprint, stored_bytes, workspace
+from tierstone.sources.writer import (
+    enough_shuffle_partitions,
+    settings,
+    write_by_month,
+    write_trades,
+)
 
 SOURCE_TABLES = ["lineitem", "orders", "customer", "nation", "part"]
 
@@ -20,7 +28,10 @@ MIFID_REGION = 3
 
 # Part of the stored tables' folder name: raise it when the derivation or the
 # layout changes, so that no older copy is picked up.
-LAYOUT = "v1"
+LAYOUT = "v3"
+
+# Below this size the files are too small for a filter per row group to pay.
+ID_FILTER_FROM_BYTES = 100 * 1024**3
 
 
 def table_path(sf_dir: str, name: str) -> str:
@@ -117,36 +128,44 @@ class TradeHistory:
 
     ``legacy`` is the flat pre-migration source, ``trades`` the table
     partitioned by year, month and asset class. The five-way join runs once per
-    set of inputs; every query afterwards reads Parquet and can prune.
+    set of inputs; every query afterwards reads Parquet and can prune. The two
+    frames are kept: their files never change, so they are listed only once.
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
-        inputs = [table_path(sf_dir, name) for name in SOURCE_TABLES]
-        self.root = f"{workspace(spark)}/tierstone-history/{LAYOUT}-{fingerprint(spark, inputs)}"
-        self._paths: dict[str, str] = {}
+        self.inputs = [table_path(sf_dir, name) for name in SOURCE_TABLES]
+        version = f"{LAYOUT}-{fingerprint(spark, self.inputs)}"
+        self.root = f"{workspace(spark)}/tierstone-history/{version}"
 
-    def _built(self, name: str, write) -> str:
-        if name not in self._paths:
-            self._paths[name] = build_once(self.spark, f"{self.root}/{name}", write)
-        return self._paths[name]
+    def _built(self, name: str, inputs: list[str], write: Callable[[str], None]) -> str:
+        partitions = enough_shuffle_partitions(self.spark, stored_bytes(self.spark, inputs))
+        with settings(self.spark, shuffle__partitions=partitions):
+            return build_once(self.spark, f"{self.root}/{name}", write)
 
-    @property
+    @cached_property
     def legacy_path(self) -> str:
         return self._built(
-            "legacy", lambda path: derive_trades(self.spark, self.sf_dir).write.parquet(path)
+            "legacy",
+            self.inputs,
+            lambda path: write_by_month(derive_trades(self.spark, self.sf_dir), path),
         )
 
-    @property
+    @cached_property
     def trades_path(self) -> str:
-        return self._built("trades", lambda path: write_trades(self.legacy, path))
+        large = stored_bytes(self.spark, [self.legacy_path]) >= ID_FILTER_FROM_BYTES
+        return self._built(
+            "trades",
+            [self.legacy_path],
+            lambda path: write_trades(self.legacy, path, id_filter=large),
+        )
 
-    @property
+    @cached_property
     def legacy(self) -> DataFrame:
         return read_legacy(self.spark, self.legacy_path)
 
-    @property
+    @cached_property
     def trades(self) -> DataFrame:
         return read_trades(self.spark, self.trades_path)
 
