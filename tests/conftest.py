@@ -41,10 +41,10 @@ def legacy(spark, sf_dir):
 
 @pytest.fixture(scope="session")
 def recent(spark, sf_dir, tmp_path_factory):
-    """The last six months of the history, kept in memory for the job tests."""
+    """The last five months of the history, kept in memory for the job tests."""
     from tierstone.sources.scans import date_window
 
-    frame = date_window(history(spark, sf_dir).trades, dt.date(2001, 6, 1)).cache()
+    frame = date_window(history(spark, sf_dir).trades, dt.date(2001, 7, 1)).cache()
     frame.count()
     return frame
 

@@ -16,7 +16,9 @@ from tierstone.sources.storage import build_once, workspace
 
 
 def plan(df):
-    return df._jdf.queryExecution().executedPlan().toString()
+    """The physical plan with its filters and schemas in full."""
+    with writer.settings(df.sparkSession, maxMetadataStringLength="5000"):
+        return df._jdf.queryExecution().executedPlan().toString()
 
 
 def scanned_partitions(spark, df):
@@ -56,8 +58,8 @@ def test_a_hot_partition_is_written_by_several_tasks(spark, trades, folder):
     ).repartition(8)
     with pytest.MonkeyPatch.context() as patch:
         patch.setattr(writer, "FILE_BYTES", "64k")
-        with writer.settings(spark, adaptive__coalescePartitions__minPartitionSize="16k"):
-            writer.write_trades(skewed, f"{folder}/table")
+        patch.setattr(writer, "SMALLEST_TASK", "16k")
+        writer.write_trades(skewed, f"{folder}/table")
     files = inventory.file_inventory(spark, f"{folder}/table").collect()
     assert {f.asset_class: f.files for f in files}["FX"] > 1
     assert scans.read_trades(spark, f"{folder}/table").count() == trades.count()

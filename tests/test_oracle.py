@@ -6,6 +6,7 @@ import pytest
 from oracle_check import connect, differences
 
 import __spark_entry__ as spark_entry
+from tierstone.workload.trades import history
 
 QUERIES, ORACLE = spark_entry.queries(), spark_entry.oracle_sql()
 
@@ -20,6 +21,15 @@ WHOLE_TABLE_JOBS = {
 }
 
 
+@pytest.fixture(scope="module", autouse=True)
+def in_memory(spark, sf_dir):
+    """The many small files of the test tables are read once."""
+    frames = [history(spark, sf_dir).trades.cache(), history(spark, sf_dir).legacy.cache()]
+    yield
+    for frame in frames:
+        frame.unpersist()
+
+
 @pytest.fixture(scope="module")
 def duck(sf_dir):
     return connect(sf_dir)

@@ -48,7 +48,7 @@ def delete(spark: SparkSession, path: str) -> bool:
 
 def rename(spark: SparkSession, source: str, destination: str) -> bool:
     fs, origin = _filesystem(spark, source)
-    _, target = _filesystem(spark, destination)
+    target = spark._jvm.org.apache.hadoop.fs.Path(destination)
     fs.mkdirs(target.getParent())
     return fs.rename(origin, target)
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -16,6 +17,8 @@ HIDDEN = ("_", ".")
 SHUFFLE_BYTES = 128 * 1024 * 1024
 ROW_EXPANSION = 3
 FILE_BYTES = "512m"
+SMALLEST_TASK = "64k"
+FOLDER_CALLS = 16
 
 
 @contextmanager
@@ -35,6 +38,20 @@ def settings(spark: SparkSession, **values: str) -> Iterator[None]:
                 spark.conf.set(name, value)
 
 
+def writing(spark: SparkSession):
+    """Settings of a table write: tasks by ``FILE_BYTES``, reads likewise.
+
+    The small minimum only matters below ``FILE_BYTES`` per core, where it lets
+    a small write use all cores.
+    """
+    return settings(
+        spark,
+        adaptive__advisoryPartitionSizeInBytes=FILE_BYTES,
+        adaptive__coalescePartitions__minPartitionSize=SMALLEST_TASK,
+        files__maxPartitionBytes=FILE_BYTES,
+    )
+
+
 def enough_shuffle_partitions(spark: SparkSession, input_bytes: int) -> str:
     """Shuffle partitions of about ``SHUFFLE_BYTES`` for that much Parquet.
 
@@ -70,7 +87,7 @@ def _save(
         writer = writer.option("parquet.bloom.filter.enabled#trade_id", "true").option(
             "parquet.bloom.filter.adaptive.enabled", "true"
         )
-    with settings(df.sparkSession, adaptive__advisoryPartitionSizeInBytes=FILE_BYTES):
+    with writing(df.sparkSession):
         writer.partitionBy(*keys).parquet(path)
 
 
@@ -93,7 +110,7 @@ def write_by_month(df: DataFrame, path: str) -> None:
         .sortWithinPartitions("trade_date", "trade_id")
         .drop("_month")
     )
-    with settings(df.sparkSession, adaptive__advisoryPartitionSizeInBytes=FILE_BYTES):
+    with writing(df.sparkSession):
         clustered.write.option("compression", "snappy").parquet(path)
 
 
@@ -114,22 +131,30 @@ def copy_trades(df: DataFrame, path: str, keys: list[str] = PARTITION_COLUMNS) -
     _save(df.select(*COLUMNS), path, "errorifexists", keys)
 
 
-def spread_by_size(df: DataFrame, sizes: DataFrame, target_bytes: int) -> DataFrame:
-    """Rows hashed over ``ceil(bytes / target)`` tasks per partition.
+def spread_by_size(
+    df: DataFrame, sizes: DataFrame, target_bytes: int, at_least: int = 1
+) -> DataFrame:
+    """Rows in ``ceil(bytes / target)`` files per partition.
 
     ``sizes`` has one row per partition folder, at most a few tens of
-    thousands, and is broadcast.
+    thousands, and is broadcast. Rows are dealt out by position in the scan,
+    which a repeated task reproduces and which keeps copies of a row apart.
+    A task holds about ``target_bytes``; small partitions share one.
     """
+    spark = df.sparkSession
     parts = sizes.select(
         *PARTITION_COLUMNS,
-        F.greatest(F.ceil(F.col("bytes") / F.lit(target_bytes)), F.lit(1)).alias("_files"),
+        F.greatest(F.ceil(F.col("bytes") / F.lit(target_bytes)), F.lit(at_least)).alias("_files"),
     )
-    tasks = parts.agg(F.sum("_files")).first()[0] or 1
-    salted = df.join(F.broadcast(parts), PARTITION_COLUMNS).withColumn(
-        "_salt", F.pmod(F.xxhash64("trade_id", "trade_timestamp", "notional_usd"), F.col("_files"))
+    total = sizes.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
+    tasks = max(-(-total // target_bytes), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    salted = (
+        df.withColumn("_position", F.monotonically_increasing_id())
+        .join(F.broadcast(parts), PARTITION_COLUMNS)
+        .withColumn("_salt", F.pmod("_position", "_files"))
     )
     return (
-        salted.repartition(int(tasks), *PARTITION_COLUMNS, "_salt")
+        salted.repartition(tasks, *PARTITION_COLUMNS, "_salt")
         .sortWithinPartitions(*PARTITION_COLUMNS, "counterparty_id", "trade_id")
         .select(*COLUMNS)
     )
@@ -137,20 +162,22 @@ def spread_by_size(df: DataFrame, sizes: DataFrame, target_bytes: int) -> DataFr
 
 def partition_folders(spark: SparkSession, path: str, depth: int) -> list[str]:
     """Relative ``key=value`` folders ``depth`` levels below ``path``."""
+
+    def below(parent: str) -> list[str]:
+        names = list_names(spark, f"{path}/{parent}" if parent else path)
+        wanted = [n for n in names if "=" in n and not n.startswith(HIDDEN)]
+        return [f"{parent}/{n}" if parent else n for n in wanted]
+
     folders = [""]
-    for _ in range(depth):
-        folders = [
-            f"{parent}/{name}" if parent else name
-            for parent in folders
-            for name in list_names(spark, f"{path}/{parent}" if parent else path)
-            if "=" in name and not name.startswith(HIDDEN)
-        ]
+    with ThreadPoolExecutor(FOLDER_CALLS) as pool:
+        for _ in range(depth):
+            folders = [folder for found in pool.map(below, folders) for folder in found]
     return folders
 
 
 def drop_partitions(spark: SparkSession, path: str, folders: list[str]) -> None:
-    for folder in folders:
-        delete(spark, f"{path}/{folder}")
+    with ThreadPoolExecutor(FOLDER_CALLS) as pool:
+        list(pool.map(lambda folder: delete(spark, f"{path}/{folder}"), folders))
 
 
 def replace_partitions(
@@ -174,16 +201,22 @@ def replace_partitions(
         new = spark.read.schema(df.schema).parquet(staged)
         before, after = content_checksum(df), content_checksum(new)
         if before != after:
+            delete(spark, staged)
             raise RuntimeError(f"staged rows differ from their source: {before} != {after}")
     written = set(partition_folders(spark, staged, len(PARTITION_COLUMNS)))
     unlisted = written - set(folders)
     if unlisted:
+        delete(spark, staged)
         raise ValueError(f"rows outside the replaced partitions: {sorted(unlisted)[:3]}")
-    for folder in folders:
+
+    def exchange(folder: str) -> None:
         if exists(spark, f"{path}/{folder}"):
             rename(spark, f"{path}/{folder}", f"{retired}/{folder}")
-        if folder in written:
-            rename(spark, f"{staged}/{folder}", f"{path}/{folder}")
+        if folder in written and not rename(spark, f"{staged}/{folder}", f"{path}/{folder}"):
+            raise RuntimeError(f"could not move {folder}; its rows are in {staged} and {retired}")
+
+    with ThreadPoolExecutor(FOLDER_CALLS) as pool:
+        list(pool.map(exchange, folders))
     delete(spark, retired)
     delete(spark, staged)
 

@@ -15,7 +15,7 @@ from tierstone.operators import joins, suite, tiers, validation
 from tierstone.plans import analytics, compaction, migration, promotion, reports, snapshots
 from tierstone.sources import inventory, scans
 from tierstone.sources.storage import fresh_path
-from tierstone.sources.writer import PARTITION_COLUMNS, write_trades
+from tierstone.sources.writer import copy_trades, spread_by_size, write_trades
 from tierstone.streaming import ingest
 from tierstone.workload.fixtures import (
     AS_OF,
@@ -213,10 +213,11 @@ def _migrate_range(h: TradeHistory) -> DataFrame:
 
 
 def _compact(h: TradeHistory) -> DataFrame:
-    """The whole table written in fragments, then compacted year by year."""
+    """The whole table in small files, two or more per partition, then compacted."""
     path = fresh_path(h.spark, "compact")
-    fragments = h.trades.repartition("trade_month", F.pmod(F.xxhash64("trade_id"), F.lit(3)))
-    fragments.write.partitionBy(*PARTITION_COLUMNS).parquet(path)
+    sizes = inventory.file_inventory(h.spark, h.trades_path)
+    fragments = spread_by_size(h.trades, sizes, 64 * compaction.MB, at_least=2)
+    copy_trades(fragments, path)
     compaction.compact(h.spark, path, list(range(FIRST_DAY.year, LAST_DAY.year + 1)))
     return scans.read_trades(h.spark, path)
 
