@@ -12,7 +12,7 @@ from tierstone.functions.dates import months_in_range, shift_months
 from tierstone.plans import analytics, reports
 from tierstone.schema import COLUMNS, TRADE_SCHEMA
 from tierstone.sources import inventory, scans, writer
-from tierstone.sources.storage import build_once, workspace
+from tierstone.sources.storage import build_once, clear_runs, exists, fresh_path, workspace
 
 
 def plan(df):
@@ -97,6 +97,13 @@ def test_a_stored_table_is_built_once(spark, folder):
     assert len(calls) == 1
 
 
+def test_run_folders_are_new_and_can_be_cleared(spark):
+    first, second = fresh_path(spark, "job"), fresh_path(spark, "job")
+    assert first != second
+    spark.range(1).write.parquet(first)
+    assert clear_runs(spark) and not exists(spark, first)
+
+
 def test_workspace_follows_the_session(spark):
     named = spark.conf.get("spark.checkpoint.dir", None)
     assert workspace(spark) == (named.rstrip("/") if named else workspace(spark))

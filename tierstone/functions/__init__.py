@@ -1,7 +1,6 @@
 from tierstone.functions.dates import (
     calendar_months_between,
     month_key,
-    month_start,
     snapshot_name,
 )
 from tierstone.functions.hashing import row_hash, sample_order
@@ -10,7 +9,6 @@ from tierstone.functions.verdicts import same_within, verdict
 __all__ = [
     "calendar_months_between",
     "month_key",
-    "month_start",
     "row_hash",
     "same_within",
     "sample_order",

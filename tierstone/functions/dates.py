@@ -22,10 +22,6 @@ def month_key(year: Column, month: Column) -> Column:
     return year * 100 + month
 
 
-def month_start(year: Column, month: Column) -> Column:
-    return F.make_date(year, month, F.lit(1))
-
-
 def snapshot_name(run_date: Column, months_back: int) -> Column:
     """Name of the monthly snapshot ``months_back`` months before a run."""
     return F.concat(

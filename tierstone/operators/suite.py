@@ -14,7 +14,6 @@ from tierstone.functions.dates import calendar_months_between
 from tierstone.functions.verdicts import verdict
 from tierstone.operators.validation import bad_direction, wrong_partition
 from tierstone.schema import ASSET_CLASSES, COLUMNS
-from tierstone.sources.scans import month_partition
 
 
 @dataclass(frozen=True)
@@ -46,7 +45,7 @@ def _run(df: DataFrame, checks: dict[str, Check]) -> DataFrame:
     )
 
 
-def table_checks(start: dt.date, end: dt.date, as_of: dt.date) -> dict[str, Check]:
+def table_checks(start: dt.date, end: dt.date) -> dict[str, Check]:
     """Checks of the cold table that one grouped profile answers.
 
     The profile has a row per year and class, so counting distinct years and
@@ -54,6 +53,7 @@ def table_checks(start: dt.date, end: dt.date, as_of: dt.date) -> dict[str, Chec
     """
     in_range = F.col("trade_year").between(start.year, end.year)
     years = end.year - start.year + 1
+    # Check ids, descriptions and pass rules.
     return {
         "V-001": Check(
             "Total row count > 0 in TRADES_COLD",
@@ -100,8 +100,9 @@ def check_table(
     as_of: dt.date,
     only: Iterable[str] | None = None,
 ) -> DataFrame:
-    checks = table_checks(start, end, as_of)
-    chosen = {k: v for k, v in checks.items() if only is None or k in set(only)}
+    checks = table_checks(start, end)
+    wanted = set(checks if only is None else only)
+    chosen = {k: v for k, v in checks.items() if k in wanted}
     # An empty table has no profile rows, and its sums are NULL rather than 0.
     zeroed = {
         k: Check(c.description, F.coalesce(c.observed, F.lit(0)), c.passes) for k, c in chosen.items()
@@ -163,6 +164,7 @@ def check_pruned(cold: DataFrame, start: dt.date, month: int = 1, asset_class: s
 def check_structure(cold: DataFrame, found: dict[str, bool]) -> DataFrame:
     """Existence of the tier tables and the view, and the cold column count."""
     spark = cold.sparkSession
+    # Check ids, descriptions and expected counts.
     names = {
         "S-001": ("TRADES_COLD table exists", int(found["trades_cold"]), 1),
         "S-002": ("TRADES_WARM table exists", int(found["trades_warm"]), 1),
@@ -261,22 +263,3 @@ def preflight_duplicates(source: DataFrame) -> DataFrame:
 def rows_of_current_year(cold: DataFrame, as_of: dt.date) -> DataFrame:
     """The daily accessibility probe: rows of the running year."""
     return cold.where(F.col("trade_year") == as_of.year).agg(F.count(F.lit(1)).alias("rows"))
-
-
-__all__ = [
-    "Check",
-    "check_log_complete",
-    "check_log_failed",
-    "check_pruned",
-    "check_structure",
-    "check_table",
-    "check_unique",
-    "check_view",
-    "month_partition",
-    "preflight_duplicates",
-    "preflight_source",
-    "rows_of_current_year",
-    "suite_summary",
-    "validate_migration",
-    "write_report",
-]

@@ -179,8 +179,3 @@ def storage_class_report(inventories: dict[str, DataFrame], as_of: dt.date, **ru
         .withColumn("monthly_usd", F.round(F.col("bytes") / GB * price[F.col("storage_class")], 6))
         .orderBy("tier", "storage_class")
     )
-
-
-def partitions_of(df: DataFrame) -> DataFrame:
-    """Partitions of a relation with their row counts."""
-    return df.groupBy(*PARTITION_COLUMNS).agg(F.count(F.lit(1)).alias("rows"))

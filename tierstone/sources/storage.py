@@ -27,8 +27,18 @@ def workspace(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def _runs(spark: SparkSession) -> str:
+    return f"{workspace(spark)}/tierstone-runs/{spark.sparkContext.applicationId}"
+
+
 def fresh_path(spark: SparkSession, label: str) -> str:
-    return f"{workspace(spark)}/tierstone-runs/{label}-{uuid.uuid4().hex}"
+    """A new folder for one run of a job."""
+    return f"{_runs(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def clear_runs(spark: SparkSession) -> bool:
+    """Delete the run folders of this application, once their results are read."""
+    return delete(spark, _runs(spark))
 
 
 def _filesystem(spark: SparkSession, path: str):
