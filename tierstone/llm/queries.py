@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierstone.llm import decontaminate, line_dedup
+from tierstone.llm import decontaminate, line_dedup, packing, quality, simhash
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +26,18 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.train(docs, table(spark, sf_dir, "labels"))
+    return quality.score(docs, model).select(
+        "doc_id",
+        "rating.expected_grade",
+        F.col("rating.tails")[0].alias("p_not_toxic"),
+        F.col("rating.tails")[1].alias("p_good"),
+        "rating.accepted",
+    )
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return line_dedup.drop_repeated_lines(docs).select(
@@ -33,8 +45,31 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
+    )
+
+
 def queries():
-    return {"op1_decontamination": op1_decontamination, "op4_line_dedup": op4_line_dedup}
+    return {
+        "op1_decontamination": op1_decontamination,
+        "op2_quality": op2_quality,
+        "op4_line_dedup": op4_line_dedup,
+        "op7_packing": op7_packing,
+        "op8_simhash": op8_simhash,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
