@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierstone.llm import decontaminate, line_dedup, packing, quality, simhash
+from tierstone.llm import decontaminate, line_dedup, packing, quality, simhash, substrings
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -62,6 +62,12 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substrings.remove_repeats(table(spark, sf_dir, "documents"))
+    kept = F.sha2("kept", 256).alias("kept_sha256")
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", kept)
+
+
 def queries():
     return {
         "op1_decontamination": op1_decontamination,
@@ -69,6 +75,7 @@ def queries():
         "op4_line_dedup": op4_line_dedup,
         "op7_packing": op7_packing,
         "op8_simhash": op8_simhash,
+        "op9_substrings": op9_substrings,
     }
 
 
