@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierstone.llm import decontaminate, line_dedup, packing, quality, simhash, substrings
+from tierstone.llm import decontaminate, line_dedup, neighbours, packing, quality, simhash, substrings
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -68,6 +68,11 @@ def op9_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", kept)
 
 
+def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    embeddings = table(spark, sf_dir, "embeddings")
+    return neighbours.nearest(embeddings, lambda vec_id: vec_id % neighbours.QUERY_EVERY == 0)
+
+
 def queries():
     return {
         "op1_decontamination": op1_decontamination,
@@ -76,6 +81,7 @@ def queries():
         "op7_packing": op7_packing,
         "op8_simhash": op8_simhash,
         "op9_substrings": op9_substrings,
+        "op10_neighbours": op10_neighbours,
     }
 
 
