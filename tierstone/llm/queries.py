@@ -5,7 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierstone.llm import decontaminate, line_dedup, neighbours, packing, quality, simhash, substrings
+from tierstone.llm import (
+    decontaminate,
+    html_text,
+    line_dedup,
+    neighbours,
+    packing,
+    pii,
+    quality,
+    simhash,
+    substrings,
+    warc,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,6 +49,14 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = warc.responses(table(spark, sf_dir, "pages"))
+    return warc.derive(records).select(
+        "page_id", "type", "record_id", "refers_to", "target_uri", "content_length",
+        "block_digest", "source_payload_digest", F.sha2("record", 256).alias("record_sha256"),
+    )
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return line_dedup.drop_repeated_lines(docs).select(
@@ -45,6 +64,15 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_personal_data(table(spark, sf_dir, "documents")).drop("base")
+
+
+def op6_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_text.extract(table(spark, sf_dir, "pages"))
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def tokenizer_path() -> str:
     import public_tokenizers
 
@@ -77,7 +105,10 @@ def queries():
     return {
         "op1_decontamination": op1_decontamination,
         "op2_quality": op2_quality,
+        "op3_warc": op3_warc,
         "op4_line_dedup": op4_line_dedup,
+        "op5_pii": op5_pii,
+        "op6_html": op6_html,
         "op7_packing": op7_packing,
         "op8_simhash": op8_simhash,
         "op9_substrings": op9_substrings,
