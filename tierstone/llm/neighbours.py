@@ -37,7 +37,9 @@ SAMPLE_ROWS, MOST_LISTS, LIST_ROWS = 20_000, 4096, 400
 #: A vector joins lists within this ratio of its nearest centroid, COPIES of them at most.
 BOUNDARY_RATIO, COPIES = 1.02, 2
 SAMPLE_QUERIES, SAMPLE_RECALL = 500, 0.96
-GRAPH_DEGREE, SLICE_ROWS = 24, 4096
+#: Links of a centroid to its nearest and to random others; centroids a walk opens at least.
+GRAPH_DEGREE, FAR_LINKS, LEAST_OPENED = 24, 8, 32
+SLICE_ROWS = 4096
 
 
 @dataclass
@@ -81,7 +83,8 @@ class Index:
         """All lists within the ratio that the graph walk reaches."""
         q = np.concatenate([query, [0.0]])
         d = lambda at: ((self.centroids[at] - q) ** 2).sum(axis=1)
-        starts = np.unique(np.linspace(0, len(self.centroids) - 1, 8).astype(int))
+        # entry points: some centroids spread over all, from the nearest of them on
+        starts = np.arange(0, len(self.centroids), max(1, int(len(self.centroids) ** 0.5) // 4))
         seen = set(starts.tolist())
         heap = list(zip(d(starts).tolist(), starts.tolist()))
         heapq.heapify(heap)
@@ -89,7 +92,7 @@ class Index:
         while heap:
             dist, at = heapq.heappop(heap)
             best = min(best, dist)
-            if dist > self.ratio**2 * best and len(found) >= 8:
+            if dist > self.ratio**2 * best and len(found) >= LEAST_OPENED:
                 break
             found.append((dist, at))
             new = [n for n in self.graph[at].tolist() if n not in seen]
@@ -136,7 +139,9 @@ def build_index(vectors: DataFrame, n: int, far: float, k: int) -> Index | None:
     lists = int(np.clip(n // LIST_ROWS, 1, MOST_LISTS))
     index.centroids = balanced_centroids(index.lengthened(plain), lists)
     dist = _distances(index.centroids, index.centroids)
-    index.graph = np.argsort(dist, axis=1, kind="stable")[:, 1 : GRAPH_DEGREE + 1]
+    near = np.argsort(dist, axis=1, kind="stable")[:, 1 : GRAPH_DEGREE + 1]
+    far = np.random.default_rng(5).integers(0, len(dist), (len(dist), FAR_LINKS))
+    index.graph = np.concatenate([near, far], axis=1)
     index.calibrate(plain, k)
     return index
 
