@@ -44,8 +44,9 @@ from tierstone.sources.storage import fresh_path
 LENGTH, GRAM = 50, 24
 SIDE = LENGTH - GRAM  # an anchor's strings reach so far to either side of it
 SPAN = SIDE + 1  # buckets in a string
-#: Bytes of a block, and of the texts that are looked at together.
-BLOCK_BYTES, CHUNK_BYTES = 4 << 20, 1 << 18
+#: Bytes of a block, and of the texts that are looked at together; ranges of identifiers
+#: for each shuffle partition of the session.
+BLOCK_BYTES, CHUNK_BYTES, RANGES = 1 << 20, 1 << 18, 4
 PAD = 80
 NO_ID = 2**63 - 1
 U = np.uint64
@@ -335,7 +336,7 @@ class Blocks:
     """Texts in blocks, kept by block so that answers can be joined without moving them."""
 
     def __init__(self, docs: DataFrame, block_bytes: int = BLOCK_BYTES):
-        self.spark, self.parts = docs.sparkSession, shuffle_partitions(docs)
+        self.spark, self.parts = docs.sparkSession, RANGES * shuffle_partitions(docs)
 
         def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             number = TaskContext.get().partitionId() << 32
@@ -383,14 +384,14 @@ class Blocks:
         parts, steps = self.parts, len(self.answers)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            target = None
             for batch in batches:
-                for row in batch.to_pylist():
+                for k in range(batch.num_rows):
+                    row = batch.slice(k, 1).to_pylist()[0]
                     bits = [
                         sorted(
-                            (x["part"], x["n"], x["one"], x["two"]) for x in row[f"bits{k}"] or []
+                            (x["part"], x["n"], x["one"], x["two"]) for x in row[f"bits{step}"] or []
                         )
-                        for k in range(steps)
+                        for step in range(steps)
                     ]
                     block = Block(row["docs"], row["sizes"], row["body"], bits, parts)
                     rows = use(block, row)
