@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Labelled documents that the model is fitted on, at most.
-SAMPLE_ROWS = 6000
+SAMPLE_ROWS = 4000
 HASH_BITS = 18
 #: Stems are the first so many bytes of a longer word. The vector of
 #: words is SCALE long, shares are multiplied by it.
@@ -126,15 +126,16 @@ def fit_ordinal(
     get a threshold too, but no weight in the fit."""
     if len(np.unique(grades)) < 2:
         return OrdinalModel(np.zeros(size, np.float32), np.full(n_grades - 1, -30.0))
-    at = np.repeat(np.arange(len(rows)), [len(i) for i, _ in rows])
-    cols, index, seen = np.unique(
-        np.concatenate([i for i, _ in rows]), return_inverse=True, return_counts=True
-    )
-    value = np.concatenate([v for _, v in rows])
-    often = seen >= min_docs  # rarer features would only be learnt by heart
-    at, value = at[often[index]], value[often[index]]
-    index, cols = (np.cumsum(often) - 1)[index[often[index]]], cols[often]
     n = len(rows)
+    seen = np.zeros(size, np.int32)
+    for i, _ in rows:  # the slots of a row are distinct
+        seen[i] += 1
+    often = seen >= min_docs  # rarer features would only be learnt by heart
+    cols, column = np.flatnonzero(often), np.cumsum(often, dtype=np.int32) - 1
+    rows = [(column[i[k]], v[k].astype(np.float32)) for i, v in rows for k in [often[i]]]
+    at = np.repeat(np.arange(n, dtype=np.int32), [len(i) for i, _ in rows])
+    index, value = (np.concatenate(x) for x in zip(*rows))
+    del rows
     share = np.bincount(grades, minlength=n_grades) / n
     below = np.clip(np.cumsum(share)[:-1], 1e-3, 1 - 1e-3)
     start = np.log(below / (1 - below))
@@ -180,7 +181,7 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
     ).where("grade IS NOT NULL AND doc_id IS NOT NULL")
     sample = graded.orderBy(F.xxhash64("doc_id"), "grade").limit(sample_rows)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    schema = "grade int, slots array<long>, weights array<double>"
+    schema = "grade int, slots array<int>, weights array<float>"
 
     def featured(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         features = TextFeatures()
@@ -188,14 +189,17 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
             found = [features(t) for t in part["text"]]
             yield pd.DataFrame({
                 "grade": part["grade"],
-                "slots": [i for i, _ in found],
-                "weights": [v for _, v in found],
+                "slots": [i.astype(np.int32) for i, _ in found],
+                "weights": [v.astype(np.float32) for _, v in found],
             })
 
     # the sample is bounded by sample_rows, so it may be sent to every task
     picked = texts.join(F.broadcast(sample), "doc_id").select("grade", "text")
     got = picked.mapInPandas(featured, schema).toPandas()
-    rows = [(np.asarray(i, np.int64), np.asarray(v)) for i, v in zip(got["slots"], got["weights"])]
+    rows = [
+        (np.asarray(i, np.int32), np.asarray(v, np.float32))
+        for i, v in zip(got.pop("slots"), got.pop("weights"))
+    ]
     return fit_ordinal(rows, got["grade"].to_numpy(np.int64), 1 << HASH_BITS)
 
 
