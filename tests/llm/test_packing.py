@@ -69,7 +69,9 @@ def test_empty_table(spark):
 
 def test_words_are_cut_as_in_whole_texts(tokenizer):
     tokens = packing.Tokens(tokenizer_path())
-    for text in ["Don't  STOP now", "a\x1cb ΣΑΣ İ", "x́ y\n\n\tz", "it's 3.14!!! <|endoftext|>"]:
+    for text in ["Don't  STOP now", "a\x1cb ΣΑΣ İ", "x́ y\n\n\tz", "it's 3.14!!! <|endoftext|>",
+                 "a\x85b\xa0c\u2003d", "Éa. ÀÇÉ, İı ŉ Ǆ ªº ß µ! ÿ ñandú; 'S don't's x''s", "word... a.b c,, ?! x?",
+                 "ĳ Ŀ ſ Ỳ a\u0301. e\u0301x K Å"]:
         plain = tokens.tokenizer.encode(text, add_special_tokens=False).ids
         assert np.frombuffer(tokens.document(text), "<u4").tolist() == [*plain, 0]
 
