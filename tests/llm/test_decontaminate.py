@@ -6,7 +6,7 @@ import re
 import pytest
 from edge import CLASHING, edge_docs, edge_rows, no_docs
 
-from tierstone.llm.common import Stored
+from tierstone.llm.common import Stored, row_key
 from tierstone.llm.decontaminate import PositionalIndex, mark_contaminated, test_windows
 
 test_windows.__test__ = False
@@ -91,5 +91,7 @@ def test_other_columns_stay(spark):
 def test_proximity(spark):
     rows = [(1, "red x x green x blue"), (2, "blue green red"), (3, "red x x x x x x green blue"), (4, "red green")]
     windows = Stored(test_windows(items_frame(spark, [(1, "red green blue")])), "w").df
-    near = PositionalIndex(edge_docs(spark, rows), windows).near(6)
-    assert sorted(r["d"] for r in near.collect()) == [1, 2]
+    docs = edge_docs(spark, rows)
+    key = {r["key"]: r["doc_id"] for r in docs.select("doc_id", row_key(docs).alias("key")).collect()}
+    near = PositionalIndex(docs, windows).near(6)
+    assert sorted(key[r["d"]] for r in near.collect()) == [1, 2]

@@ -11,7 +11,6 @@ from tierstone.sources.storage import delete, fresh_path
 
 #: The white space `[\x20\x09-\x0D]`.
 ASCII_SPACE = " \t\n\x0b\f\r"
-NULL_ID = -(2**63)
 
 
 def ascii_lower(text: Column) -> Column:
@@ -26,9 +25,10 @@ def fresh_name(df: DataFrame, wanted: str) -> str:
     return wanted
 
 
-def id_key(doc_id: Column) -> Column:
-    """A join key that also holds for rows without an id."""
-    return F.coalesce(doc_id.cast("long"), F.lit(NULL_ID))
+def row_key(docs: DataFrame) -> Column:
+    """A join key of a document's row, also for rows without an id: equal only for rows with
+    the same id and text, but for rare hash clashes."""
+    return F.xxhash64(docs["doc_id"].cast("long"), docs["text"])
 
 
 class Stored:

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tierstone.llm.common import Stored, ascii_lower, fresh_name, id_key
+from tierstone.llm.common import Stored, ascii_lower, fresh_name, row_key
 
 #: What stands between words: ASCII that is neither digit nor small letter.
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -56,7 +56,7 @@ class PositionalIndex:
             "w", F.posexplode(F.split("phrase", " ")).alias("at", "term")
         ).select("w", "at", F.xxhash64("term").alias("t"))
         tokens = docs.select(
-            id_key(F.col("doc_id")).alias("d"), F.posexplode(words_of(F.col("text")))
+            row_key(docs).alias("d"), F.posexplode(words_of(F.col("text")))
         ).select("d", F.col("pos").alias("p"), F.xxhash64("col").alias("t"))
         self._postings = Stored(
             tokens.join(self.terms.select("t").distinct(), "t").select("t", "d", "p"), "postings"
@@ -72,9 +72,9 @@ class PositionalIndex:
     def rarest(self) -> DataFrame:
         """(w, rare): each window's terms from the rarest on; windows with a term
         that the corpus lacks are left out."""
-        counts = self.postings.groupBy("t").agg(F.count("*").alias("freq"))
+        counts = Stored(self.postings.groupBy("t").agg(F.count("*").alias("freq")), "term-counts")
         return (
-            self.terms.join(counts, "t", "left")
+            self.terms.join(counts.df, "t", "left")
             .groupBy("w")
             .agg(
                 F.array_sort(F.collect_list(F.struct("freq", "at", "t"))).alias("rare"),
@@ -105,7 +105,7 @@ class PositionalIndex:
         )
 
     def near(self, within: int) -> DataFrame:
-        """(w, d, s): documents in which all terms of a window occur within ``within``
+        """(w, d, s): documents (by their row key) in which all terms of a window occur within ``within``
         words, and the smallest start of such a stretch at an occurrence of its rarest
         term. Later terms are looked up only around the starts that are left."""
         rare = Stored(self.rarest(), "window-terms").df
@@ -145,7 +145,7 @@ def mark_contaminated(
         .agg(F.collect_list(F.struct("s", "n", "phrase", "items")).alias(found))
     )
     words = fresh_name(docs, "words")
-    joined = docs.join(per_doc, id_key(F.col("doc_id")) == F.col(own), "left").withColumn(
+    joined = docs.join(per_doc, row_key(docs) == F.col(own), "left").withColumn(
         words, words_of(F.col("text"))
     )
     here = F.array_sort(

@@ -23,7 +23,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierstone.llm.common import ASCII_SPACE, Stored, ascii_lower, fresh_name
+from tierstone.llm.common import ASCII_SPACE, Stored, ascii_lower, fresh_name, row_key
 
 #: Two 64-bit hashes name a line: 128 bits keep apart all lines of any corpus.
 KEY = ["h1", "h2"]
@@ -44,13 +44,15 @@ def key_hash(key: Column) -> Column:
 
 
 def hashed_lines(docs: DataFrame, min_chars: int) -> DataFrame:
-    """(doc_id, h1, h2): the long enough lines of each row, each once."""
+    """(doc_id, row, h1, h2): the long enough lines of each row, each once."""
     keys = F.filter(
         F.transform(lines_of(F.col("text")), line_key), lambda k: F.length(k) >= min_chars
     )
     return docs.select(
-        F.col("doc_id"), F.explode(F.array_distinct(F.transform(keys, key_hash))).alias("key")
-    ).select("doc_id", "key.h1", "key.h2")
+        F.col("doc_id"),
+        row_key(docs).alias("row"),
+        F.explode(F.array_distinct(F.transform(keys, key_hash))).alias("key"),
+    ).select("doc_id", "row", "key.h1", "key.h2")
 
 
 class LineRuns:
@@ -98,7 +100,7 @@ class LineRuns:
         return self._merged(found)
 
     def unseen(self, batch: DataFrame) -> DataFrame:
-        """(doc_id, h1, h2): the lines of a batch that no run holds yet."""
+        """(doc_id, row, h1, h2): the lines of a batch that no run holds yet."""
         lines = hashed_lines(batch, self.min_chars)
         for run in self.runs:
             lines = lines.join(run.df.select(*KEY), KEY, "left_anti")
@@ -132,12 +134,12 @@ def drop_repeated_lines(
     )
     runs.drop()
 
-    own, gone = fresh_name(docs, "own_id"), fresh_name(docs, "gone")
+    own, row, gone = (fresh_name(docs, n) for n in ("own_id", "own_row", "gone"))
     repeated = (
         hashed_lines(source, min_chars)
         .join(frequent.df, KEY)
         .where(~F.col("doc_id").eqNullSafe(F.col("max_doc")))
-        .groupBy(F.col("doc_id").alias(own))
+        .groupBy(F.col("row").alias(row), F.col("doc_id").alias(own))
         .agg(F.collect_set(F.struct(*KEY)).alias(gone))
     )
     lines = lines_of(F.col("text"))
@@ -156,6 +158,7 @@ def drop_repeated_lines(
         (F.size(lines) - F.size(kept)).cast("long").alias("n_dropped"),
         F.array_join(kept, "\n").alias("text"),
     )
-    joined = docs.join(repeated, F.col("doc_id").cast("long").eqNullSafe(F.col(own)), "left")
+    same = (row_key(docs) == F.col(row)) & docs["doc_id"].cast("long").eqNullSafe(F.col(own))
+    joined = docs.join(repeated, same, "left")
     result = F.when(F.col(gone).isNull(), untouched).otherwise(thinned)
     return joined.select(*[F.col(f"`{c}`") for c in docs.columns], result.alias(into))
