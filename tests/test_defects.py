@@ -93,14 +93,34 @@ def test_sample_check_counts_like_a_join_without_pairing(spark, trades):
 
 def test_suite_runs_every_check_and_reports(spark, trades, folder):
     from tierstone.operators.tiers import split_tiers, unified_trades
-    from tierstone.plans.migration import completed_log
+    from tierstone.plans.migration import log_rows
 
+    months = trades.groupBy("trade_year", "trade_month").agg(F.count(F.lit(1)).alias("rows_migrated"))
+    done, notes = F.lit("COMPLETED").alias("status"), F.lit(None).cast("string").alias("notes")
+    log = log_rows(months.select("*", done, notes))
     found = {"trades_cold": True, "trades_warm": True, "v_all_trades": False}
     checks = suite.validate_migration(
-        trades, unified_trades(*split_tiers(trades, AS_OF)), completed_log(trades),
+        trades, unified_trades(*split_tiers(trades, AS_OF)), log,
         FIRST_DAY, LAST_DAY, AS_OF, found,
     )
     summary = suite.suite_summary(checks).first()
     assert (summary.total_checks, summary.passed, summary.failed, summary.result) == (18, 17, 1, "FAIL")
     suite.write_report(checks, f"{folder}/report")
     assert spark.read.json(f"{folder}/report").count() == 18
+
+
+def test_log_and_pruning_checks_can_fail(spark, trades):
+    from tierstone.plans.migration import log_rows
+
+    schema = "trade_year int, trade_month int, rows_migrated long, status string, notes string"
+    twice = log_rows(spark.createDataFrame(
+        [(1995, 1, 5, "COMPLETED", None), (1995, 1, 5, "COMPLETED", None), (1995, 2, 5, "FAILED", "x")], schema
+    ))
+    end = FIRST_DAY.replace(month=2, day=28)
+    assert suite.check_log_complete(twice, FIRST_DAY, end).first()["result"] == "FAIL"
+    assert suite.check_log_failed(twice, FIRST_DAY).first()["result"] == "FAIL"
+    assert suite.check_pruned(trades.where("asset_class <> 'FX'"), FIRST_DAY).first()["result"] == "FAIL"
+    empty = trades.where("false")
+    found = suite.check_table(empty, FIRST_DAY, LAST_DAY, AS_OF)
+    failing = {r["check_id"] for r in found.collect() if r["result"] == "FAIL"}
+    assert {"V-001", "V-002"} <= failing

@@ -6,29 +6,9 @@ import pytest
 from oracle_check import connect, differences
 
 import __spark_entry__ as spark_entry
-from tierstone.workload.trades import history
-
-QUERIES, ORACLE = spark_entry.queries(), spark_entry.oracle_sql()
-
-# Jobs that rewrite the whole history run on small tables in the other tests.
-WHOLE_TABLE_JOBS = {
-    "migrate_range",
-    "compact_year",
-    "promote_stored_tiers",
-    "stream_ingest",
-    "stream_late_routing",
-    "point_in_time",
-}
-
-
-@pytest.fixture(scope="module", autouse=True)
-def in_memory(spark, sf_dir):
-    """The many small files of the test tables are read once."""
-    frames = [history(spark, sf_dir).trades.cache(), history(spark, sf_dir).legacy.cache()]
-    yield
-    for frame in frames:
-        frame.unpersist()
+from tierstone.workload import oracle, registry
 
+QUERIES, ORACLE = registry.queries(), oracle.oracle_sql()
 
 @pytest.fixture(scope="module")
 def duck(sf_dir):
@@ -39,7 +19,7 @@ def test_every_oracle_has_a_query():
     assert set(ORACLE) <= set(QUERIES)
 
 
-@pytest.mark.parametrize("name", sorted(set(ORACLE) - WHOLE_TABLE_JOBS))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_oracle(spark, sf_dir, duck, name):
     assert differences(QUERIES[name](spark, sf_dir), duck, ORACLE[name]) is None
 

@@ -60,14 +60,6 @@ def log_rows(months: DataFrame) -> DataFrame:
     )
 
 
-def completed_log(target: DataFrame) -> DataFrame:
-    """The log of a table whose every month is migrated."""
-    months = target.groupBy("trade_year", "trade_month").agg(
-        F.count(F.lit(1)).alias("rows_migrated")
-    )
-    return log_rows(months.select("*", F.lit("COMPLETED").alias("status"), F.lit(None).cast("string").alias("notes")))
-
-
 def month_plan(
     source: DataFrame,
     log: DataFrame,

@@ -29,7 +29,9 @@ def monthly_snapshot(
     itself. The copy is written aside and renamed, and has no shuffle.
     """
     created = _name(shift_months(as_of, -1))
-    build_once(spark, f"{root}/{created}", lambda path: copy_trades(cold, path))
+    stored = build_once(spark, f"{root}/{created}", lambda path: copy_trades(cold, path))
+    if stored != f"{root}/{created}":
+        raise RuntimeError(f"{created} was taken by another run; this run's copy is {stored}")
     oldest = _name(shift_months(as_of, -keep))
     dropped = sorted(
         name

@@ -7,6 +7,7 @@ import tempfile
 import uuid
 from collections.abc import Callable
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -56,6 +57,15 @@ def delete(spark: SparkSession, path: str) -> bool:
     return fs.exists(target) and fs.delete(target, True)
 
 
+def delete_if_empty(spark: SparkSession, path: str) -> bool:
+    """Remove a folder without files; one that got a file meanwhile stays."""
+    fs, target = _filesystem(spark, path)
+    try:
+        return fs.exists(target) and not fs.listStatus(target) and fs.delete(target, False)
+    except Py4JJavaError:  # not empty any more
+        return False
+
+
 def rename(spark: SparkSession, source: str, destination: str) -> bool:
     fs, origin = _filesystem(spark, source)
     target = spark._jvm.org.apache.hadoop.fs.Path(destination)

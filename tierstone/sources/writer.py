@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tierstone.schema import COLUMNS, PARTITION_COLUMNS
-from tierstone.sources.storage import delete, exists, list_names, rename
+from tierstone.sources.storage import delete, delete_if_empty, exists, list_names, rename
 
 HIDDEN = ("_", ".")
 SHUFFLE_BYTES = 128 * 1024 * 1024
@@ -180,44 +180,79 @@ def drop_partitions(spark: SparkSession, path: str, folders: list[str]) -> None:
         list(pool.map(lambda folder: delete(spark, f"{path}/{folder}"), folders))
 
 
+STAGED, READY = "_staged-", "_ready"
+PLAN = "folder string, old array<string>"
+
+
 def replace_partitions(
     spark: SparkSession,
     df: DataFrame,
     path: str,
     folders: list[str],
     check: bool = True,
+    keys: list[str] = PARTITION_COLUMNS,
 ) -> None:
-    """Replace exactly ``folders`` of a partitioned table by the rows of ``df``.
+    """Replace the files of ``folders`` that ``df`` was read from by the rows of ``df``.
 
-    The new files are written in full beside the table before anything moves.
-    Old folders are renamed away and only deleted at the end, so a crash in
-    between loses no row: both copies are still under the table's ``_`` folders.
-    A listed folder that got no rows is left out of the table.
+    The new files are written in full beside the table, and with them the list of the old
+    ones; from then on the replacement is decided, and ``recover`` finishes it should the
+    run die. Until then ``recover`` takes it back. Files that arrive in a folder meanwhile
+    are not touched. A reader that lists a folder between the arrival of its new files and
+    the removal of the old ones sees both: plain folders have no switch that readers follow.
     """
+    recover(spark, path)
+    read = {file.rsplit("/", 1)[-1] for file in df.inputFiles()}
     run = uuid.uuid4().hex
-    staged, retired = f"{path}/_staged-{run}", f"{path}/_retired-{run}"
-    _save(df, staged, "errorifexists", PARTITION_COLUMNS)
+    staged = f"{path}/{STAGED}{run}"
+    _save(df, staged, "errorifexists", keys)
     if check:
         new = spark.read.schema(df.schema).parquet(staged)
         before, after = content_checksum(df), content_checksum(new)
         if before != after:
             delete(spark, staged)
             raise RuntimeError(f"staged rows differ from their source: {before} != {after}")
-    written = set(partition_folders(spark, staged, len(PARTITION_COLUMNS)))
-    unlisted = written - set(folders)
+    unlisted = set(partition_folders(spark, staged, len(keys))) - set(folders)
     if unlisted:
         delete(spark, staged)
-        raise ValueError(f"rows outside the replaced partitions: {sorted(unlisted)[:3]}")
-
-    def exchange(folder: str) -> None:
-        if exists(spark, f"{path}/{folder}"):
-            rename(spark, f"{path}/{folder}", f"{retired}/{folder}")
-        if folder in written and not rename(spark, f"{staged}/{folder}", f"{path}/{folder}"):
-            raise RuntimeError(f"could not move {folder}; its rows are in {staged} and {retired}")
+        raise ValueError(f"rows outside the replaced partitions: {sorted(unlisted)}")
+    with ThreadPoolExecutor(FOLDER_CALLS) as pool:
+        names = list(pool.map(lambda folder: list_names(spark, f"{path}/{folder}"), folders))
+    plan = [(folder, [n for n in own if n in read]) for folder, own in zip(folders, names)]
+    spark.createDataFrame(plan, PLAN).coalesce(1).write.parquet(f"{staged}/{READY}")
+    _exchange(spark, path, run, plan)
+
+
+def recover(spark: SparkSession, path: str) -> int:
+    """Finish or take back the replacements that dead runs left; returns how many."""
+    runs = [n.removeprefix(STAGED) for n in list_names(spark, path) if n.startswith(STAGED)]
+    for run in runs:
+        ready = f"{path}/{STAGED}{run}/{READY}"
+        if exists(spark, f"{ready}/_SUCCESS"):
+            plan = [tuple(r) for r in spark.read.schema(PLAN).parquet(ready).collect()]
+            _exchange(spark, path, run, plan)
+        else:
+            delete(spark, f"{path}/{STAGED}{run}")
+    return len(runs)
+
+
+def _exchange(spark: SparkSession, path: str, run: str, plan: list[tuple[str, list[str]]]) -> None:
+    """Move new files in, then delete the old ones; safe to repeat from any point."""
+    staged = f"{path}/{STAGED}{run}"
+
+    def exchange(step: tuple[str, list[str]]) -> None:
+        folder, old = step
+        for name in list_names(spark, f"{staged}/{folder}"):
+            source, place = f"{staged}/{folder}/{name}", f"{path}/{folder}/{name}"
+            if not name.startswith(HIDDEN) and not rename(spark, source, place):
+                raise RuntimeError(f"could not move {source}; recover() goes on from here")
+        for name in old:
+            delete(spark, f"{path}/{folder}/{name}")
+        delete_if_empty(spark, f"{path}/{folder}")
 
     with ThreadPoolExecutor(FOLDER_CALLS) as pool:
-        list(pool.map(exchange, folders))
-    delete(spark, retired)
+        list(pool.map(exchange, plan))
+    # the decision goes first: what is left of a finished exchange is only waste
+    delete(spark, f"{staged}/{READY}")
     delete(spark, staged)
 
 

@@ -22,6 +22,7 @@ LAST_DAY = dt.date(2001, 11, 30)
 YEAR, MONTH = 1998, 6
 ASSET_CLASS = "FX"
 FIRST_YEAR, LAST_YEAR = 1996, 1998
+FAILING_YEAR = 1997
 COUNTERPARTY = "CP_000078"
 TRADE_ID, TRADE_DATE = "000090ed5ad646462add6cf05ef2eeee", dt.date(1995, 12, 20)
 

@@ -7,6 +7,7 @@ from tierstone.workload.fixtures import (
     AS_OF,
     ASSET_CLASS,
     COUNTERPARTY,
+    FAILING_YEAR,
     FIRST_DAY,
     FIRST_YEAR,
     LAST_DAY,
@@ -363,12 +364,17 @@ LOG = f"""log AS (SELECT 'TRADES_COLD_LEGACY' AS source_table, 'TRADES_COLD' AS
   make_date(trade_year, trade_month, 1) AS partition_start,
   last_day(make_date(trade_year, trade_month, 1)) AS partition_end,
   COUNT(*) AS rows_migrated, 'COMPLETED' AS status FROM trades GROUP BY trade_year, trade_month)"""
+# A year is one job: its months are validated together, and the range stops after it.
+FAILED_LOG = f"""failed AS (SELECT make_date(trade_year, trade_month, 1) AS partition_start,
+  last_day(make_date(trade_year, trade_month, 1)) AS partition_end,
+  CASE WHEN trade_year = {FAILING_YEAR} AND bool_or({_digit('2')}) THEN 'FAILED' ELSE 'COMPLETED' END AS status
+  FROM trades WHERE trade_year <= {FAILING_YEAR} GROUP BY trade_year, trade_month)"""
 
 
 def _l001(log: str) -> str:
     inside = f"partition_start >= DATE '{FIRST_DAY}' AND partition_end <= DATE '{LAST_DAY}'"
     return _line("L-001", "Migration log has entries for all months",
-                 f"COUNT(*) FILTER (WHERE status = 'COMPLETED' AND {inside})", f">= {_MONTHS}", log)
+                 f"COUNT(DISTINCT partition_start) FILTER (WHERE status = 'COMPLETED' AND {inside})", f">= {_MONTHS}", log)
 
 
 def _l002(log: str) -> str:
@@ -384,7 +390,7 @@ def _q001() -> str:
 def _q002() -> str:
     wanted = f"trade_year = {_Y1} AND trade_month = 1 AND asset_class = 'FX'"
     return f"""SELECT 'Q-002' AS check_id, 'Partition pruning works for a single asset class' AS description,
-  scanned AS observed, CASE WHEN scanned < total THEN 'PASS' ELSE 'FAIL' END AS result FROM (
+  scanned AS observed, CASE WHEN scanned > 0 AND scanned < total THEN 'PASS' ELSE 'FAIL' END AS result FROM (
   SELECT COUNT(*) FILTER (WHERE {wanted}) AS scanned, COUNT(*) AS total
   FROM (SELECT DISTINCT trade_year, trade_month, asset_class FROM trades))"""
 
@@ -533,18 +539,28 @@ SELECT 'METADATA_' || {_ym('m')}, 'METADATA', last_day(m),
 def _month_plan() -> str:
     return _q(f"""SELECT CAST(m AS DATE) AS partition_start, last_day(CAST(m AS DATE)) AS partition_end,
   (SELECT COUNT(*) FROM trades WHERE date_trunc('month', trade_date) = m) AS source_rows,
-  CASE WHEN EXISTS (SELECT 1 FROM trades WHERE trade_year < {YEAR} AND date_trunc('month', trade_date) = m)
+  CASE WHEN EXISTS (SELECT 1 FROM failed WHERE status = 'COMPLETED' AND partition_start = m)
     THEN 'SKIP' ELSE 'MIGRATE' END AS action
-FROM generate_series(DATE '{FIRST_DAY}', DATE '{LAST_DAY}', INTERVAL 1 MONTH) g(m)""")
+FROM generate_series(DATE '{FIRST_DAY}', DATE '{LAST_DAY}', INTERVAL 1 MONTH) g(m)""", FAILED_LOG)
 
 
 def _job_runs() -> str:
-    return _q(f"""SELECT * FROM (SELECT 'TASK_DAILY_TIER_PROMOTION' AS name, 'SUCCEEDED' AS state,
-  trade_date + INTERVAL 26 HOUR AS scheduled_time,
-  trade_date + INTERVAL 26 HOUR + COUNT(*) * INTERVAL 1 SECOND AS completed_time,
-  CAST(NULL AS VARCHAR) AS error_message FROM trades GROUP BY trade_date)
-WHERE scheduled_time >= {_D} - INTERVAL 7 DAY + INTERVAL 12 HOUR AND scheduled_time <= {_D} + INTERVAL 12 HOUR
-ORDER BY scheduled_time DESC LIMIT 5""")
+    """The two promotions; the history must not be empty."""
+    return _q(f"""SELECT 'TASK_DAILY_TIER_PROMOTION' AS name, 'SUCCEEDED' AS state,
+  CAST(d AS TIMESTAMP) + INTERVAL 2 HOUR AS scheduled_time, CAST(NULL AS VARCHAR) AS error_message
+FROM (VALUES ({_D}), ({_D} - 1)) v(d) WHERE EXISTS (SELECT 1 FROM trades) ORDER BY scheduled_time DESC""")
+
+
+def _ingested() -> str:
+    """Every id in its newest version, and the rows that came without one."""
+    return _q(f"""SELECT {_COLS} FROM trades WHERE NOT ({_digit('3')} OR {_digit('4')})
+UNION ALL SELECT {_COLS} FROM (SELECT * REPLACE ('AMENDED' AS trade_status,
+  trade_timestamp + INTERVAL 40 DAY AS updated_at) FROM trades WHERE {_digit('3')})
+UNION ALL SELECT {_COLS} FROM (SELECT * REPLACE (trade_date + 45 AS trade_date,
+  CAST(year(trade_date + 45) AS INT) AS trade_year, CAST(month(trade_date + 45) AS INT) AS trade_month,
+  trade_timestamp + INTERVAL 41 DAY AS updated_at) FROM trades WHERE {_digit('4')})
+UNION ALL SELECT {_COLS} FROM (SELECT * REPLACE (CAST(NULL AS VARCHAR) AS trade_id)
+  FROM trades WHERE {_digit('6')})""")
 
 
 def _upsert() -> str:
@@ -618,11 +634,10 @@ WHERE {_in_month()} GROUP BY asset_class""", _SRC),
         "validate_all_partitions": _per_target(["clean", "bad_5"], _all_partitions, window=False),
         "signoff": _q(f"""SELECT 'Validation complete for partition {YEAR}-{MONTH:02d}. Review all individual PASS/FAIL results above before proceeding.' AS sign_off_reminder,
   COUNT(*) AS rows_checked FROM trades WHERE {_in_month()}"""),
-        "l001_log_complete": _q(_l001("log"), LOG),
-        "l002_log_failed": _q(f"SELECT 'clean' AS target, q.* FROM ({_l002('log')}) q UNION ALL "
-                              f"SELECT 'failed' AS target, q.* FROM ({_l002('failed')}) q", LOG,
-                              "failed AS (SELECT * REPLACE (CASE WHEN year(partition_start) = 1997 "
-                              "THEN 'FAILED' ELSE status END AS status) FROM log)"),
+        **{key: _q("\nUNION ALL\n".join(f"SELECT '{t}' AS target, q.* FROM ({check(log)}) q"
+                                         for t, log in (("clean", "log"), ("failed", "failed"))),
+                   LOG, FAILED_LOG)
+           for key, check in (("l001_log_complete", _l001), ("l002_log_failed", _l002))},
         "q001_view_rows": _q(_q001()),
         "q002_pruned": _q(_q002()),
         "validation_suite": _suite(),
@@ -655,12 +670,11 @@ WHERE trade_date BETWEEN DATE '{YEAR}-01-01' AND DATE '{YEAR}-12-31' AND asset_c
         "pruning_report": _pruning(),
         "partition_advice": _advice(),
         "storage_class_report": _storage_class(),
-        "stream_ingest": _q(f"{rows} trades"),
+        "stream_ingest": _ingested(),
         "stream_late_routing": _q(_tagged("trade_id, trade_date")
                                   + "\nUNION ALL SELECT trade_id, trade_date, 'LATE' FROM warm"
                                   + "\nUNION ALL SELECT trade_id, trade_date, 'LATE' FROM cold", TIERS),
-        "stream_daily_profile": """SELECT CAST(ts AS DATE) AS day, COUNT(*) AS daily_count FROM events
-GROUP BY 1 HAVING CAST(ts AS DATE) + INTERVAL 1 DAY <= (SELECT MAX(ts) FROM events) - INTERVAL 1 DAY""",
+        "stream_daily_profile": _q("SELECT trade_date, COUNT(*) AS daily_count FROM trades GROUP BY trade_date"),
     }
     # The defect each suite check must catch.
     caught = {"V-001": [], "V-002": [], "V-003": [], "V-004": ["bad_1"], "V-005": ["bad_class"],

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierstone.schema import ASSET_CLASSES, LEGACY_COLUMNS, LEGACY_SCHEMA
-from tierstone.sources.scans import read_legacy, read_trades, with_partition_columns
+from tierstone.sources.scans import read_legacy, read_trades
 from tierstone.sources.storage import build_once, fingerprint, stored_bytes, workspace
 from tierstone.sources.writer import (
     enough_shuffle_partitions,
@@ -28,10 +28,7 @@ MIFID_REGION = 3
 
 # Part of the stored tables' folder name: raise it when the derivation or the
 # layout changes, so that no older copy is picked up.
-LAYOUT = "v3"
-
-# Below this size the files are too small for a filter per row group to pay.
-ID_FILTER_FROM_BYTES = 100 * 1024**3
+LAYOUT = "v4"
 
 
 def table_path(sf_dir: str, name: str) -> str:
@@ -154,11 +151,10 @@ class TradeHistory:
 
     @cached_property
     def trades_path(self) -> str:
-        large = stored_bytes(self.spark, [self.legacy_path]) >= ID_FILTER_FROM_BYTES
         return self._built(
             "trades",
             [self.legacy_path],
-            lambda path: write_trades(self.legacy, path, id_filter=large),
+            lambda path: write_trades(self.legacy, path, id_filter=True),
         )
 
     @cached_property
@@ -169,10 +165,6 @@ class TradeHistory:
     def trades(self) -> DataFrame:
         return read_trades(self.spark, self.trades_path)
 
-    def derived(self) -> DataFrame:
-        """The history straight from the given tables, nothing stored."""
-        return with_partition_columns(derive_trades(self.spark, self.sf_dir))
-
 
 _histories: dict[tuple[str, str], TradeHistory] = {}
 
