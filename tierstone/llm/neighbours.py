@@ -29,17 +29,20 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tierstone.llm.common import Stored
+from tierstone.llm.common import Stored, hash_sample, shuffle_partitions
 
 NEIGHBOURS, QUERY_EVERY = 20, 20
 #: Vectors the index is fitted on at most, lists at most, vectors of a list as wanted.
 SAMPLE_ROWS, MOST_LISTS, LIST_ROWS = 20_000, 4096, 400
 #: A vector joins lists within this ratio of its nearest centroid, COPIES of them at most.
 BOUNDARY_RATIO, COPIES = 1.02, 2
-SAMPLE_QUERIES, SAMPLE_RECALL = 500, 0.96
+SAMPLE_QUERIES, SAMPLE_RECALL = 300, 0.96
 #: Links of a centroid to its nearest and to random others; centroids a walk opens at least.
 GRAPH_DEGREE, FAR_LINKS, LEAST_OPENED = 24, 8, 32
-SLICE_ROWS = 4096
+#: Vectors of a slice of a list, and of a shard of slices that one task searches.
+SLICE_ROWS, SHARD_ROWS, ASKED_TOGETHER = 4096, 16_384, 512
+#: Vectors that are compared with all centroids at once.
+CHUNK = 1024
 
 
 @dataclass
@@ -55,15 +58,13 @@ class Index:
 
     def lists_of(self, x: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """(rows, lists): where each vector is stored."""
-        if not len(x):
-            return
-        x = self.lengthened(x)
-        dist = _distances(x, self.centroids)
-        near = np.argsort(dist, axis=1, kind="stable")[:, :COPIES]
-        own = np.take_along_axis(dist, near, axis=1)
-        for k in range(near.shape[1]):
-            at = np.flatnonzero(own[:, k] <= BOUNDARY_RATIO**2 * own[:, 0])
-            yield at, near[at, k]
+        for begin in range(0, len(x), CHUNK):
+            dist = _distances(self.lengthened(x[begin : begin + CHUNK]), self.centroids)
+            near = np.argsort(dist, axis=1, kind="stable")[:, :COPIES]
+            own = np.take_along_axis(dist, near, axis=1)
+            for k in range(near.shape[1]):
+                at = np.flatnonzero(own[:, k] <= BOUNDARY_RATIO**2 * own[:, 0])
+                yield begin + at, near[at, k]
 
     def calibrate(self, x: np.ndarray, k: int) -> None:
         """Take the ratio that reaches SAMPLE_RECALL of the k nearest within the sample."""
@@ -114,9 +115,12 @@ def balanced_centroids(x: np.ndarray, k: int, rounds: int = 12, seed: int = 7) -
     centroids = x[rng.choice(len(x), k, replace=False)].copy()
     price = np.zeros(k)
     for _ in range(rounds):
-        dist = _distances(x, centroids)
-        scale = dist.min(axis=1).mean() + 1e-12
-        own = np.argmin(dist + price, axis=1)
+        own, least = np.empty(len(x), dtype=np.int64), 0.0
+        for at in range(0, len(x), CHUNK):
+            dist = _distances(x[at : at + CHUNK], centroids)
+            own[at : at + CHUNK] = np.argmin(dist + price, axis=1)
+            least += dist.min(axis=1).sum()
+        scale = least / len(x) + 1e-12
         size = np.bincount(own, minlength=k)
         price += 0.05 * scale * (size * k / len(x) - 1)
         price -= price.min()
@@ -131,7 +135,7 @@ def balanced_centroids(x: np.ndarray, k: int, rounds: int = 12, seed: int = 7) -
 
 def build_index(vectors: DataFrame, n: int, far: float, k: int) -> Index | None:
     """Fitted on the ``SAMPLE_ROWS`` vectors whose ids hash lowest."""
-    sample = vectors.orderBy(F.xxhash64("vec_id")).limit(SAMPLE_ROWS).select("e").toPandas()
+    sample = hash_sample(vectors, ["vec_id"], SAMPLE_ROWS, n).select("e").toPandas()
     if not len(sample):
         return None
     index = Index(np.zeros((0, 0)), np.zeros((0, 0), int), far)
@@ -159,6 +163,36 @@ def usable(embeddings: DataFrame) -> DataFrame:
     return rows.where(F.size("e") == (sizes["k"] if sizes else 0))
 
 
+def best_of(asked: pd.DataFrame, x: np.ndarray, ids: np.ndarray, place: dict, k: int) -> pd.DataFrame:
+    """The k best vectors of each query among those of its lists; ``place`` has the rows of
+    a list, which are in the order of their ids."""
+    query, wanted = np.stack(asked["e"].to_list()), {}
+    for row, lists in enumerate(asked["lists"]):
+        for own in lists:
+            wanted.setdefault(int(own), []).append(row)
+    rows, at, score = [], [], []
+    for own, who in wanted.items():
+        if own in place:
+            a, b = place[own]
+            # einsum adds up every pair alike, so that equal vectors get equal scores
+            s = np.einsum("qd,nd->qn", query[who], x[a:b])
+            top = np.argsort(-s, axis=1, kind="stable")[:, :k]
+            rows.append(np.repeat(who, top.shape[1]))
+            at.append(a + top.ravel())
+            score.append(np.take_along_axis(s, top, axis=1).ravel())
+    if not rows:
+        return pd.DataFrame({"q": np.zeros(0, int), "vec_id": np.zeros(0, int), "score": np.zeros(0)})
+    row, vec, s = np.concatenate(rows), ids[np.concatenate(at)], np.concatenate(score)
+    order = np.lexsort((vec, -s, row))
+    row, vec, s = row[order], vec[order], s[order]
+    # copies of a vector in two lists have equal scores and stand side by side
+    new = np.concatenate([[True], (row[1:] != row[:-1]) | (vec[1:] != vec[:-1])])
+    row, vec, s = row[new], vec[new], s[new]
+    start = np.searchsorted(row, row)
+    best = np.arange(len(row)) - start < k
+    return pd.DataFrame({"q": asked["q"].to_numpy()[row[best]], "vec_id": vec[best], "score": s[best]})
+
+
 def nearest(embeddings: DataFrame, is_query, k: int = NEIGHBOURS) -> DataFrame:
     """(query_id, rank, vec_id, score) for the rows for which ``is_query(vec_id)`` holds."""
     spark = embeddings.sparkSession
@@ -183,50 +217,50 @@ def nearest(embeddings: DataFrame, is_query, k: int = NEIGHBOURS) -> DataFrame:
                 for at, lists in shared.value.lists_of(np.stack(part["e"].to_list())):
                     yield part.iloc[at].assign(list=lists)[["list", "vec_id", "e"]]
 
-    def asked(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in parts:
-            for q, e in zip(part["q"], part["e"]):
-                yield pd.DataFrame({"list": shared.value.search(e), "q": q}).assign(e=lambda d: [e] * len(d))
-
     members = Stored(
         kept.select("vec_id", "e").mapInPandas(stored, "list long, vec_id long, e array<double>"),
         "posting-lists",
     ).df
-    sizes = members.groupBy("list").agg(F.ceil(F.count("*") / SLICE_ROWS).alias("slices"))
-    sizes = Stored(sizes, "list-sizes").df
+    n_slices = F.ceil(F.count("*") / SLICE_ROWS).alias("slices")
+    sizes = Stored(members.groupBy("list").agg(n_slices), "list-sizes").df
+    slices = {r["list"]: r["slices"] for r in sizes.collect()}  # MOST_LISTS at most
+    shards = max(1, -(-members.count() // SHARD_ROWS))
+    own_slice = F.pmod(F.xxhash64("vec_id"), F.col("slices"))
     members = members.join(sizes, "list").withColumn(
-        "slice", F.pmod(F.xxhash64("vec_id"), F.col("slices"))
+        "shard", F.pmod(F.col("list") + own_slice, F.lit(shards))
     )
+
+    def asked(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in parts:
+            for q, e in zip(part["q"], part["e"]):
+                wanted: dict[int, list[int]] = {}
+                for own in shared.value.search(e).tolist():
+                    for shard in {(own + n) % shards for n in range(slices.get(own, 0))}:
+                        wanted.setdefault(shard, []).append(own)
+                yield pd.DataFrame({
+                    "shard": list(wanted), "q": q, "e": [e] * len(wanted), "lists": list(wanted.values()),
+                })
+
     queries = Stored(distinct_ids.where(is_query(F.col("vec_id"))), "queries").df
     heads = Stored(queries.groupBy("e").agg(F.min("vec_id").alias("q")), "query-vectors").df
-    probes = (
-        heads.repartition("q")
-        .mapInPandas(asked, "list long, q long, e array<double>")
-        .join(sizes, "list")
-        .withColumn("slice", F.explode(F.sequence(F.lit(0).cast("long"), F.col("slices") - 1)))
+    probes = heads.repartition(shuffle_partitions(heads), "q").mapInPandas(
+        asked, "shard long, q long, e array<double>, lists array<long>"
     )
 
     def scanned(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if not len(left) or not len(right):
-            return pd.DataFrame({"q": [], "vec_id": [], "score": []}).astype({"q": "int64", "vec_id": "int64"})
-        ids = left["vec_id"].to_numpy()
-        order = np.argsort(ids)
-        ids, x = ids[order], np.stack(left["e"].to_list())[order]
-        asked_for, out = right["q"].to_numpy(), []
-        for at in range(0, len(right), 512):
-            score = np.stack(right["e"].to_list()[at : at + 512]) @ x.T
-            top = np.argsort(-score, axis=1, kind="stable")[:, : k + 1]
-            out.append(pd.DataFrame({
-                "q": np.repeat(asked_for[at : at + 512], top.shape[1]),
-                "vec_id": ids[top].ravel(),
-                "score": np.take_along_axis(score, top, axis=1).ravel(),
-            }))
+        out = [pd.DataFrame({"q": np.zeros(0, int), "vec_id": np.zeros(0, int), "score": np.zeros(0)})]
+        if len(left):
+            left = left.sort_values(["list", "vec_id"])
+            x, ids = np.stack(left["e"].to_list()), left["vec_id"].to_numpy()
+            names, first = np.unique(left["list"].to_numpy(), return_index=True)
+            place = dict(zip(names.tolist(), zip(first.tolist(), [*first[1:].tolist(), len(ids)])))
+            for at in range(0, len(right), ASKED_TOGETHER):
+                out.append(best_of(right.iloc[at : at + ASKED_TOGETHER], x, ids, place, k + 1))
         return pd.concat(out)
 
-    part = ["list", "slice"]
     found = (
-        members.select(*part, "vec_id", "e").groupBy(*part)
-        .cogroup(probes.select(*part, "q", "e").groupBy(*part))
+        members.select("shard", "list", "vec_id", "e").groupBy("shard")
+        .cogroup(probes.groupBy("shard"))
         .applyInPandas(scanned, "q long, vec_id long, score double")
     )
     order = [F.desc("score"), F.col("vec_id")]
