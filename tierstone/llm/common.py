@@ -54,3 +54,15 @@ def shuffle_partitions(df: DataFrame) -> int:
 def group_count(df: DataFrame, rows: int, per_group: int) -> int:
     """Groups for ``rows`` rows, so that none holds much more than ``per_group``."""
     return max(shuffle_partitions(df), -(-rows // per_group))
+
+
+def hash_sample(df: DataFrame, keys: list[str], rows: int, total: int) -> DataFrame:
+    """At most ``rows`` of the ``total`` rows: those whose keys hash lowest.
+
+    Only a share of a little over ``rows`` is sorted, so what the tasks send does not grow
+    with their number.
+    """
+    own = F.xxhash64(*keys)
+    share = min(1.0, 1.5 * rows / max(total, 1))
+    low = F.pmod(own, F.lit(1 << 30)) <= int(share * (1 << 30))
+    return df.where(low).orderBy(F.pmod(own, F.lit(1 << 30)), own).limit(rows)
