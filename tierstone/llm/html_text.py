@@ -28,12 +28,16 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tierstone.llm.common import hash_sample
+
 #: Pages the labeller is trained on, variants made of each, passes over them.
 SAMPLE_PAGES, VARIANTS, PASSES = 200, 5, 3
 PATH_SLOTS, WORD_SLOTS, WIDTH, HIDDEN, MEASURES = 2048, 4096, 16, 24, 6
 #: Pages that are labelled together, and blocks of them at most unless a page has more.
 TOGETHER, TOGETHER_BLOCKS = 256, 8192
 CACHED_WORDS = 200_000
+#: Longer pages are extracted like any other, but not learnt from.
+LEARN_CHARS = 20_000
 MARK = "\x01"
 
 _TOKEN = re.compile(
@@ -399,13 +403,10 @@ def main_texts(labeller: Labeller, pages: list[str | None], names: Slots, words:
 
 def extract(pages: DataFrame, sample_pages: int = SAMPLE_PAGES) -> DataFrame:
     """(page_id, url, text) of every page."""
-    sample = (
-        pages.where(F.length("html") > 0)
-        .select("html", F.xxhash64("html").alias("h"))
-        .where(F.length("html") < 20_000)  # of the training pages only
-        .orderBy("h")
-        .limit(sample_pages)
+    learnable = pages.where("length(html) > 0").where(  # short enough to learn from
+        F.length("html") < LEARN_CHARS
     )
+    sample = hash_sample(learnable, ["page_id", "url"], sample_pages, pages.count()).select("html")
     labeller = train([r["html"] for r in sample.collect()])
     shared = pages.sparkSession.sparkContext.broadcast(labeller)  # of fixed size
 
