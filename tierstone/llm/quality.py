@@ -24,6 +24,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tierstone.llm.common import hash_sample
+
 #: Labelled documents that the model is fitted on, at most.
 SAMPLE_ROWS = 4000
 HASH_BITS = 18
@@ -179,7 +181,7 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
         F.col("doc_id").cast("long").alias("doc_id"),
         grade_of(F.col("quality"), F.col("toxic")).alias("grade"),
     ).where("grade IS NOT NULL AND doc_id IS NOT NULL")
-    sample = graded.orderBy(F.xxhash64("doc_id"), "grade").limit(sample_rows)
+    sample = hash_sample(graded, ["doc_id"], sample_rows, graded.count())
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     schema = "grade int, slots array<int>, weights array<float>"
 
