@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tierstone.llm.common import Stored
+from tierstone.llm.common import Stored, hash_sample
 
 KINDS = ("email", "ip", "card", "phone")
 #: Candidates the span classifier is trained on, at most; what a loose one needs to be added.
@@ -232,12 +232,8 @@ def train(found: DataFrame) -> np.ndarray | None:
         votes = np.array(part["votes"].tolist(), dtype=int)
         models[kind] = estimate(votes, part["n"].to_numpy(float))
     size = F.col("s.b") - F.col("s.a")
-    sample = (
-        rows.select("s.kind", size.alias("size"), "s.votes", F.xxhash64("doc_id", "s.a").alias("h"))
-        .orderBy("h")
-        .limit(SAMPLE_SPANS)
-        .toPandas()
-    )
+    spans = rows.select("doc_id", "s.a", "s.kind", size.alias("size"), "s.votes")
+    sample = hash_sample(spans, ["doc_id", "a"], SAMPLE_SPANS, int(patterns["n"].sum())).toPandas()
     votes = np.array(sample["votes"].tolist(), dtype=int)
     kind = sample["kind"].to_numpy()
     y = np.empty(len(sample))
