@@ -115,3 +115,33 @@ def test_edges(spark):
     found = html_text.extract(spark.createDataFrame(rows, schema)).collect()
     assert len(found) == 5 and [r["text"] for r in found][:4] == [""] * 4
     assert html_text.extract(spark.createDataFrame([], schema)).count() == 0
+
+
+def long_page(k, paras):
+    text = "".join(f"<p>Paragraph {k} {j} of an ordinary long page.</p>" for j in range(paras))
+    return f"<nav><a>home</a></nav><article><h1>t{k}</h1>{text}</article><footer>end</footer>"
+
+
+def test_long_pages_are_learnt_from(spark, monkeypatch):
+    """A table of which one page in a hundred is short; empty pages do not thin the sample."""
+    given = []
+    monkeypatch.setattr(html_text.Labeller, "fit", lambda self, pages, labels: given.append(pages))
+    rows = [(k, "u", long_page(k, 5 if k % 100 == 0 else 500)) for k in range(400)]
+    rows += [(k, "u", "") for k in range(400, 800)]
+    html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    assert len(given[0]) == html_text.SAMPLE_PAGES * (1 + html_text.VARIANTS)
+
+
+def test_lessons_are_bounded():
+    short = long_page(1, 20)
+    blocks, labels, measures = html_text.lesson(short)
+    assert blocks == html_text.blocks_of(short)
+    assert (measures == html_text.measures_of(blocks)).all()
+    deep = "<div class='a b'>" * 3000
+    comments = "<div class=comment><p>A comment of some words.</p></div>" * 20_000
+    page = deep + long_page(2, 3) + comments + "<p>" + "word " * 100_000 + "<p>" + "x" * 100_000
+    blocks, labels, measures = html_text.lesson(page)
+    assert len(blocks) == len(labels) == len(measures) <= html_text.LEARN_BLOCKS
+    assert labels.sum() == 4 and measures[-1, 2] > 0.99
+    assert 0 < sum(len(t) for _, t, _ in blocks) <= html_text.LEARN_CHARS
+    assert sum(len(p) for p, _, _ in blocks) <= html_text.LEARN_NAMES

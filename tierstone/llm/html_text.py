@@ -6,6 +6,8 @@ words), one of its hashed words and some measures, so that each block is labelle
 whole page in view. The labeller is trained here, on a bounded sample of pages: their own
 blocks, labelled by the sectioning tags that the markup itself declares, and variants of
 them in other layouts, with other names and with sidebars, notices, forms and comments.
+Pages of any length are sampled; of a long one, windows of blocks spread over its main text
+and over its other parts are learnt from, so that the sample stays bounded.
 
 Defined cases
 * Null and empty html, and pages without text, give an empty text.
@@ -19,6 +21,7 @@ Defined cases
 from __future__ import annotations
 
 import html
+import pickle
 import re
 import zlib
 from collections.abc import Iterator
@@ -36,8 +39,9 @@ PATH_SLOTS, WORD_SLOTS, WIDTH, HIDDEN, MEASURES = 2048, 4096, 16, 24, 6
 #: Pages that are labelled together, and blocks of them at most unless a page has more.
 TOGETHER, TOGETHER_BLOCKS = 256, 8192
 CACHED_WORDS = 200_000
-#: Longer pages are extracted like any other, but not learnt from.
-LEARN_CHARS = 20_000
+#: Of a page are learnt: so many blocks in so many windows, characters of their texts, names
+#: on their paths. A page with more is extracted like any other.
+LEARN_BLOCKS, WINDOWS, LEARN_CHARS, LEARN_NAMES = 1024, 8, 20_000, 20_000
 MARK = "\x01"
 
 _TOKEN = re.compile(
@@ -130,17 +134,21 @@ class Slots(dict):
 class Page:
     """The numbers the labeller sees of a page."""
 
-    def __init__(self, blocks, names: Slots, words: Slots):
+    def __init__(self, blocks, names: Slots, words: Slots, measures: np.ndarray | None = None):
         self.paths = [[names[n] for n in path] or [0] for path, _, _ in blocks]
         self.words = [[words[w] for w in text.lower().split()] for _, text, _ in blocks]
-        size = np.array([len(t) for _, t, _ in blocks], dtype=float)
-        n = len(blocks)
-        point = [sum(t.count(c) for c in ".!?") for _, t, _ in blocks]
-        self.measures = np.stack([
-            np.log1p(size) / 8, np.array([share for _, _, share in blocks]),
-            np.arange(n) / max(1, n), np.minimum(np.array(point) / 5, 2.0),
-            np.array([t[:1] in "©|•" for _, t, _ in blocks], dtype=float), np.ones(n),
-        ], axis=1)
+        self.measures = measures_of(blocks) if measures is None else measures
+
+
+def measures_of(blocks) -> np.ndarray:
+    size = np.array([len(t) for _, t, _ in blocks], dtype=float)
+    n = len(blocks)
+    point = [sum(t.count(c) for c in ".!?") for _, t, _ in blocks]
+    return np.stack([
+        np.log1p(size) / 8, np.array([share for _, _, share in blocks]),
+        np.arange(n) / max(1, n), np.minimum(np.array(point) / 5, 2.0),
+        np.array([t[:1] in "©|•" for _, t, _ in blocks], dtype=float), np.ones(n),
+    ], axis=1)
 
 
 def _sums(table: np.ndarray, bags: list[list[int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -366,16 +374,59 @@ def variant(rng: np.random.Generator, main: list[str], other: list[str]) -> str:
     return f"<html><head><title>x</title></head><body>{body}</body></html>"
 
 
+def _spread(n: int, most: int) -> np.ndarray:
+    """At most ``most`` of n places, evenly spread, the first and the last among them."""
+    return np.arange(n) if n <= most else np.unique(np.linspace(0, n - 1, most).astype(int))
+
+
+def lesson(page: str | None):
+    """(blocks, labels, measures) to learn from a page, of bounded size.
+
+    Short pages are whole. Of more blocks, half of the windows are spread over those labelled
+    as main text and half over the others. Measures are those within the whole page.
+    """
+    blocks = blocks_of(page)
+    labels = declared_labels(blocks)
+    if not labels.any():
+        return [], labels[:0], np.zeros((0, MEASURES))
+    measures = measures_of(blocks)
+    if len(blocks) > LEARN_BLOCKS:
+        sides = [np.flatnonzero(labels == y) for y in (1, 0)]
+        middles = [side[k] for side in sides for k in _spread(len(side), WINDOWS // 2)]
+        wide = LEARN_BLOCKS // WINDOWS
+        at = np.concatenate([np.arange(m - wide // 2, m + wide // 2) for m in middles])
+        at = np.unique(at[(at >= 0) & (at < len(blocks))])
+        blocks, labels, measures = [blocks[k] for k in at], labels[at], measures[at]
+    if sum(len(t) for _, t, _ in blocks) > LEARN_CHARS:
+        most = LEARN_CHARS // len(blocks)
+        blocks = [(path, _some_words(text, most), share) for path, text, share in blocks]
+    if sum(len(path) for path, _, _ in blocks) > LEARN_NAMES:
+        most = LEARN_NAMES // len(blocks)
+        blocks = [(tuple(path[k] for k in _spread(len(path), most)), *rest) for path, *rest in blocks]
+    return blocks, labels, measures
+
+
+def _some_words(text: str, chars: int) -> str:
+    """Words spread over a text that is longer than so many characters."""
+    if len(text) <= chars:
+        return text
+    words = text.split()
+    some = " ".join(words[k] for k in _spread(len(words), max(1, chars * len(words) // len(text))))
+    return some[:chars]  # a word may be longer than all others together
+
+
 def train(pages: list[str], seed: int = 3) -> Labeller:
     """A labeller fitted on the pages and on variants of them."""
+    return fitted([lesson(page) for page in pages], seed)
+
+
+def fitted(lessons: list, seed: int = 3) -> Labeller:
     rng = np.random.default_rng(seed)
     names, words = Slots(PATH_SLOTS), Slots(WORD_SLOTS)
     seen, labels, pool, articles = [], [], [], []
-    for page in pages:
-        blocks = blocks_of(page)
-        own = declared_labels(blocks)
+    for blocks, own, measures in lessons:
         if own.any():
-            seen.append(Page(blocks, names, words))
+            seen.append(Page(blocks, names, words, measures))
             labels.append(own)
             articles.append([t for (_, t, _), y in zip(blocks, own) if y])
             pool.extend(t for _, t, _ in blocks)
@@ -403,11 +454,16 @@ def main_texts(labeller: Labeller, pages: list[str | None], names: Slots, words:
 
 def extract(pages: DataFrame, sample_pages: int = SAMPLE_PAGES) -> DataFrame:
     """(page_id, url, text) of every page."""
-    learnable = pages.where("length(html) > 0").where(  # short enough to learn from
-        F.length("html") < LEARN_CHARS
-    )
-    sample = hash_sample(learnable, ["page_id", "url"], sample_pages, pages.count()).select("html")
-    labeller = train([r["html"] for r in sample.collect()])
+    learnable = pages.where("length(html) > 0")
+
+    @F.pandas_udf("binary")
+    def learnt(part: pd.Series) -> pd.Series:
+        return part.map(lambda page: pickle.dumps(lesson(page)))
+
+    # only the lessons of the pages whose keys hash low are made, sorted and sent
+    lessons = learnable.select("page_id", "url", learnt("html").alias("lesson"))
+    sample = hash_sample(lessons, ["page_id", "url"], sample_pages, learnable.count())
+    labeller = fitted([pickle.loads(r["lesson"]) for r in sample.select("lesson").collect()])
     shared = pages.sparkSession.sparkContext.broadcast(labeller)  # of fixed size
 
     @F.pandas_udf("string")
