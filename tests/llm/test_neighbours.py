@@ -74,6 +74,22 @@ def test_many_equal_vectors(spark):
     assert found == brute(rows, 20, 20)
 
 
+def test_small_far_groups_beside_dense_clusters(spark, monkeypatch):
+    """Groups of ten copies, far from everything: on some lies a centroid."""
+    monkeypatch.setattr(neighbours, "LIST_ROWS", 40)
+    rows = [(k, [*v, *[0.0] * 20]) for k, v in clusters(6, 3000)]
+    for group in range(20):
+        far = [0.0] * 36
+        far[16 + group] = 6.0
+        rows += [(3000 + 20 * group + copy, far) for copy in range(10)]
+    found = run(spark, rows)
+    assert {q: len(own) for q, own in found.items()} == {q: 20 for q in found}
+    assert len(found) == 170
+    for group in range(20):
+        q = 3000 + 20 * group
+        assert [i for i, _ in found[q]][:9] == list(range(q + 1, q + 10))
+
+
 def test_empty_table(spark):
     assert run(spark, []) == {}
     assert run(spark, [(20, None)]) == {}

@@ -5,8 +5,9 @@ product is the smallest distance. Centroids come from a k-means with prices on c
 clusters, fitted on a bounded sample. Every vector stands in the list of its nearest
 centroid; a boundary vector also in those that are nearly as near, unless a nearer list
 lies in the same direction. A query walks a graph of the centroids, kept in memory, best
-first, and searches all lists within a ratio of the distance to the nearest centroid:
-there is no limit on their number. Lists are searched in tasks, long ones in slices.
+first, takes the nearest lists until they hold enough ids, and searches all lists within a
+ratio of the distance to the last of them (mostly the very nearest): there is no limit on
+their number. Lists are searched in tasks, long ones in slices.
 
 Defined cases
 * Vectors that are null, empty, zero or hold a null or a non-finite component take no part,
@@ -14,13 +15,14 @@ Defined cases
 * A repeated id counts once, with its best score, and never as its own neighbour.
 * Of equal vectors only the smallest ids can be neighbours, one more than asked for; the
   others are left out before the search without loss. Ties go to the smaller id.
-* Fewer candidates than asked for are all returned if their lists are searched. Other
-  columns are ignored. Empty tables give no rows.
+* Fewer candidates than asked for are all returned. Other columns are ignored. Empty tables
+  give no rows.
 """
 
 from __future__ import annotations
 
 import heapq
+from bisect import insort
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -80,8 +82,9 @@ class Index:
         if ratio.size:
             self.ratio = float(np.sqrt(np.quantile(ratio, SAMPLE_RECALL))) + 1e-9
 
-    def search(self, query: np.ndarray) -> np.ndarray:
-        """All lists within the ratio that the graph walk reaches."""
+    def search(self, query: np.ndarray, held: dict[int, int], least: int) -> np.ndarray:
+        """All lists within the ratio of the nearest ones that hold ``least`` ids together;
+        ``held`` has the ids of a list, each id in one list only."""
         q = np.concatenate([query, [0.0]])
         d = lambda at: ((self.centroids[at] - q) ** 2).sum(axis=1)
         # entry points: some centroids spread over all, from the nearest of them on
@@ -89,19 +92,32 @@ class Index:
         seen = set(starts.tolist())
         heap = list(zip(d(starts).tolist(), starts.tolist()))
         heapq.heapify(heap)
-        best, found = heap[0][0], []
+        found: list[tuple[float, int]] = []  # by distance
+
+        def enough() -> float:
+            total = 0
+            for dist, at in found:
+                total += held.get(at, 0)
+                if total >= least:
+                    return dist
+            return np.inf
+
         while heap:
             dist, at = heapq.heappop(heap)
-            best = min(best, dist)
-            if dist > self.ratio**2 * best and len(found) >= LEAST_OPENED:
+            if len(found) >= LEAST_OPENED and dist > self.ratio**2 * enough():
                 break
-            found.append((dist, at))
+            insort(found, (dist, at))
             new = [n for n in self.graph[at].tolist() if n not in seen]
             seen.update(new)
             if new:
                 for item in zip(d(np.array(new)).tolist(), new):
                     heapq.heappush(heap, item)
-        return np.array([at for dist, at in found if dist <= self.ratio**2 * best])
+        reach = enough()
+        if reach == np.inf:  # also the lists that the walk did not reach
+            every = np.arange(len(self.centroids))
+            found = sorted(zip(d(every).tolist(), every.tolist()))
+            reach = enough()
+        return np.array([at for dist, at in found if dist <= self.ratio**2 * reach])
 
 
 def _distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -224,6 +240,8 @@ def nearest(embeddings: DataFrame, is_query, k: int = NEIGHBOURS) -> DataFrame:
     n_slices = F.ceil(F.count("*") / SLICE_ROWS).alias("slices")
     sizes = Stored(members.groupBy("list").agg(n_slices), "list-sizes").df
     slices = {r["list"]: r["slices"] for r in sizes.collect()}  # MOST_LISTS at most
+    one_list = members.groupBy("vec_id").agg(F.min("list").alias("list")).groupBy("list").count()
+    held = {r["list"]: r["count"] for r in one_list.collect()}  # MOST_LISTS at most
     shards = max(1, -(-members.count() // SHARD_ROWS))
     own_slice = F.pmod(F.xxhash64("vec_id"), F.col("slices"))
     members = members.join(sizes, "list").withColumn(
@@ -234,7 +252,7 @@ def nearest(embeddings: DataFrame, is_query, k: int = NEIGHBOURS) -> DataFrame:
         for part in parts:
             for q, e in zip(part["q"], part["e"]):
                 wanted: dict[int, list[int]] = {}
-                for own in shared.value.search(e).tolist():
+                for own in shared.value.search(e, held, k + 1).tolist():
                     for shard in {(own + n) % shards for n in range(slices.get(own, 0))}:
                         wanted.setdefault(shard, []).append(own)
                 yield pd.DataFrame({
