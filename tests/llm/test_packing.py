@@ -63,6 +63,30 @@ def test_several_blocks_and_rounds(spark, tokenizer, monkeypatch):
     assert check(found, tokenizer, rows, 64) <= len(plain) + 7  # a sequence for each block
 
 
+def test_rounds_go_on_while_sequences_are_gained(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    rows = [(int(k), int(n)) for k, n in enumerate(rng.integers(5, 40, 300))]
+    taken, pack_blocks = [], packing._pack_blocks
+
+    def counted(left, blocks, round_no, capacity):
+        out = packing.Stored(pack_blocks(left, blocks, round_no, capacity), "counted").df
+        taken.append((blocks, out.select("block", "bin").distinct().count()))
+        return out
+
+    monkeypatch.setattr(packing, "_pack_blocks", counted)
+    cut = spark.createDataFrame(rows, "slot long, length long")
+    placed = packing.pack(cut, 64, block_pieces=12).join(cut, "slot").collect()
+    assert sorted(r["slot"] for r in placed) == [k for k, _ in rows]
+    fill = {}
+    for r in placed:
+        fill[r["sequence_id"]] = fill.get(r["sequence_id"], 0) + r["length"]
+    assert max(fill.values()) <= 64
+    if taken[-1][0] > 1:  # the last round gained nothing: what it got are the bins that stay loose
+        loose = sum(n < packing.FULL_ENOUGH * 64 for n in fill.values())
+        assert taken[-1][1] >= loose
+    assert len(taken) > 3
+
+
 def test_empty_table(spark):
     assert packing.pack_documents(no_docs(spark), tokenizer_path()).count() == 0
 
