@@ -100,6 +100,14 @@ def test_words_are_cut_as_in_whole_texts(tokenizer):
         assert np.frombuffer(tokens.document(text), "<u4").tolist() == [*plain, 0]
 
 
+def test_special_tokens_are_those_of_the_file(tokenizer):
+    tokens = packing.Tokens(tokenizer_path())
+    for text in ["<|endoftext|>", "a<|startoftext|>b. <|endoftext|><|endoftext|> c", "<|ENDOFTEXT|>x", "Éa<|endoftext|>."]:
+        plain = tokenizer.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(tokens.document(text), "<u4").tolist() == [*plain, 0]
+    assert {49406, 49407} <= set(tokenizer.encode("<|startoftext|> <|endoftext|>", add_special_tokens=False).ids)
+
+
 def test_genetic_steps_keep_every_piece():
     rng = np.random.default_rng(2)
     size = rng.integers(1, 900, 300)
