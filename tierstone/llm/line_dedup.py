@@ -3,10 +3,10 @@
 A run is a Parquet table of line hashes, range-free but hash-partitioned and sorted,
 with the number of documents that hold the line and the largest ``doc_id`` among
 them. Every batch of documents becomes a run of level 0; when a level has ``fanout``
-runs they are merged into one run of the next level. A batch is deduplicated by an
-anti join of its lines with the runs (``LineRuns.unseen``), a whole table by an anti
-join of its lines with those keys of the merged runs that are frequent enough
-(``drop_repeated_lines``).
+runs they are merged into one run of the next level. ``LineRuns.unseen`` anti-joins the
+lines of a batch with the runs. A whole table (``drop_repeated_lines``) needs the merged
+totals, as lines go by their count and largest id: all batches are added, and the lines are
+inner-joined with those keys of the merged runs that are frequent enough.
 
 Defined cases
 * A document is a row. Rows that repeat a ``doc_id`` each count as a document, and the
