@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tierstone.llm import (
     decontaminate,
+    fill_middle,
     html_text,
     line_dedup,
     neighbours,
@@ -101,6 +102,15 @@ def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(embeddings, lambda vec_id: vec_id % neighbours.QUERY_EVERY == 0)
 
 
+def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = fill_middle.fill_in_middle(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    back = fill_middle.restored(F.col("fim.output"), F.col("fim.form"))
+    return cut.select(
+        "doc_id", "fim.n", "fim.form", "fim.prefix_chars", "fim.middle_chars",
+        F.sha2("fim.output", 256).alias("output_sha256"), F.sha2(back, 256).alias("restored_sha256"),
+    )
+
+
 def queries():
     return {
         "op1_decontamination": op1_decontamination,
@@ -113,11 +123,12 @@ def queries():
         "op8_simhash": op8_simhash,
         "op9_substrings": op9_substrings,
         "op10_neighbours": op10_neighbours,
+        "op13_fill_middle": op13_fill_middle,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_decontamination": OP1, "op4_line_dedup": OP4}
+    return {"op1_decontamination": OP1, "op4_line_dedup": OP4, "op13_fill_middle": OP13}
 
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -169,3 +180,27 @@ SELECT doc_id, count(*)::BIGINT AS n_lines,
     FILTER (WHERE keeper IS NULL OR keeper = doc_id), '')) AS kept_sha256
 FROM lines LEFT JOIN frequent USING (key) GROUP BY doc_id
 """
+
+OP13 = """
+WITH drawn AS (
+  SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, ''))::BIGINT AS n,
+    sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS d FROM documents),
+hashed AS (
+  SELECT doc_id, t, n, ('0x' || d[1:8])::BIGINT AS h1, ('0x' || d[9:16])::BIGINT AS h2,
+    ('0x' || d[17:24])::BIGINT AS h3, ('0x' || d[25:32])::BIGINT AS h4 FROM drawn),
+placed AS (
+  SELECT doc_id, t, n, least(h1 % (n + 1), h2 % (n + 1)) AS a,
+    greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+    CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>')
+        OR h3 % 100 >= 90 THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM hashed),
+parts AS (
+  SELECT *, substring(t, 1, a) AS p, substring(t, a + 1, b - a) AS m, substring(t, b + 1) AS s
+  FROM placed)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+    ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+  sha256(t) AS restored_sha256
+FROM parts
+"""
