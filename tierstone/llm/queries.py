@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierstone.llm import (
+    alignment,
     decontaminate,
     fill_middle,
     html_text,
@@ -102,6 +103,13 @@ def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(embeddings, lambda vec_id: vec_id % neighbours.QUERY_EVERY == 0)
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    paths = map(public_tokenizers.path, ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return alignment.align(table(spark, sf_dir, "documents"), *paths).drop("groups")
+
+
 def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = fill_middle.fill_in_middle(table(spark, sf_dir, "documents").select("doc_id", "text"))
     back = fill_middle.restored(F.col("fim.output"), F.col("fim.form"))
@@ -123,6 +131,7 @@ def queries():
         "op8_simhash": op8_simhash,
         "op9_substrings": op9_substrings,
         "op10_neighbours": op10_neighbours,
+        "op11_alignment": op11_alignment,
         "op13_fill_middle": op13_fill_middle,
     }
 
