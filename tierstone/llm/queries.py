@@ -15,6 +15,7 @@ from tierstone.llm import (
     packing,
     pii,
     quality,
+    secrets,
     simhash,
     substrings,
     warc,
@@ -110,6 +111,11 @@ def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.align(table(spark, sf_dir, "documents"), *paths).drop("groups")
 
 
+def op12_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.find_secrets(table(spark, sf_dir, "documents"))
+    return found.withColumn("base_sha256", F.sha2("base", 256)).drop("base")
+
+
 def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = fill_middle.fill_in_middle(table(spark, sf_dir, "documents").select("doc_id", "text"))
     back = fill_middle.restored(F.col("fim.output"), F.col("fim.form"))
@@ -132,6 +138,7 @@ def queries():
         "op9_substrings": op9_substrings,
         "op10_neighbours": op10_neighbours,
         "op11_alignment": op11_alignment,
+        "op12_secrets": op12_secrets,
         "op13_fill_middle": op13_fill_middle,
     }
 
