@@ -31,10 +31,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierstone.llm.common import Stored
+from tierstone.llm.common import Stored, group_count
 
 #: Characters of text in a block (a longer text is one), tokens of an entry of the vector.
-BLOCK_CHARS, LANE = 4_000_000, 512
+BLOCK_CHARS, LANE = 2_000_000, 512
+#: Blocks that a task gives their counts.
+TASK_BLOCKS = 8
 #: Texts longer than this go to the slower of two equal implementations, which does not
 #: backtrack over long runs of white space.
 LONG_TEXT = 1_000_000
@@ -278,6 +280,7 @@ def align(docs: DataFrame, path_a: str, path_b: str, keep_groups: bool = False)
     )
     back = places.join(pair_counts(blocks.df), "pair").select("block", "place", "n", "best")
     rows = blocks.df.where("pairs is null").drop("pairs", "counts")
+    tasks = group_count(docs, blocks.df.where("pairs is not null").count(), TASK_BLOCKS)
     schema = (
         "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long,"
         " count_sum long, groups string, groups_sha256 string"
@@ -293,5 +296,5 @@ def align(docs: DataFrame, path_a: str, path_b: str, keep_groups: bool = False)
             count_sum=[int(n[x].sum()) for x in links],
         )[[name.split()[0] for name in schema.split(", ")]]
 
-    joined = rows.groupBy("block").cogroup(back.groupBy("block"))
-    return joined.applyInPandas(summed, schema)
+    sides = [df.repartition(tasks, "block").groupBy("block") for df in (rows, back)]
+    return sides[0].cogroup(sides[1]).applyInPandas(summed, schema)
