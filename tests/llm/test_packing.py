@@ -128,3 +128,25 @@ def test_evolution_is_never_worse_than_best_fit():
     packing.best_fit(plain, [], np.arange(200), size, 1000)
     genome = packing.evolve(size, [], 1, 1000, 4, 30)
     assert len(set(genome.tolist())) <= len(plain)
+
+
+def test_genetic_steps_gain_bins_over_best_fit():
+    """Triples that fill a bin exactly: best fit decreasing pairs the wrong ones."""
+    rng = np.random.default_rng(8)
+    large, small = rng.integers(380, 490, 60), rng.integers(250, 300, 60)
+    size = np.concatenate([large, small, 1000 - large - small])
+    plain: list[list[int]] = []
+    packing.best_fit(plain, [], np.arange(len(size)), size, 1000)
+    first = packing.evolve(size, [], 1, 1000, packing.GENOMES, 0)
+    later = packing.evolve(size, [first], 2, 1000, 6, 100)
+    assert len(set(later.tolist())) < len(set(first.tolist())) <= len(plain)
+    assert np.bincount(later, weights=size).max() <= 1000
+
+
+def test_given_documents_take_no_more_than_plain_best_fit(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    found = packing.pack_documents(docs, tokenizer_path()).collect()
+    size = np.array([r["length"] for r in found])
+    plain: list[list[int]] = []
+    packing.best_fit(plain, [], np.arange(len(size)), size, 2048)
+    assert len({r["sequence_id"] for r in found}) <= len(plain)

@@ -21,6 +21,8 @@ import re
 import struct
 import zlib
 from collections.abc import Iterator
+from functools import cache
+from operator import itemgetter
 
 import numpy as np
 import pandas as pd
@@ -32,9 +34,9 @@ from tierstone.llm.common import Stored
 
 CAPACITY, END_ID = 2048, 0
 #: Pieces of a block, islands of a block, genomes of an island, generations of an epoch.
-BLOCK_PIECES, ISLANDS, GENOMES, GENERATIONS, EPOCHS = 1500, 2, 3, 4, 2
+BLOCK_PIECES, ISLANDS, GENOMES, GENERATIONS, EPOCHS = 12_000, 2, 3, 4, 2
 #: Bins at least so full are final; the others are packed again.
-FULL_ENOUGH = 0.97
+FULL_ENOUGH = 1.0
 #: Words whose ids a task keeps.
 CACHED_WORDS = 1_000_000
 _GAP = re.compile(r"[ \t\n\r]+")
@@ -82,7 +84,14 @@ class Tokens(dict):
     def document(self, text: str | None) -> bytes:
         text = text or ""
         words = _GAP.split(text) if _ODD_GAP.search(text) else text.split()
-        return b"".join(map(self.__getitem__, words)) + END_ID.to_bytes(4, "little")
+        found = itemgetter(*words)(self) if len(words) > 1 else [self[w] for w in words]
+        return b"".join(found) + END_ID.to_bytes(4, "little")
+
+
+@cache
+def tokens_of(path: str) -> Tokens:
+    """The words that a Python worker has met, in whichever of its tasks."""
+    return Tokens(path)
 
 
 def _packed(ids: list[int]) -> bytes:
@@ -96,7 +105,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY) -> Da
     """One row per piece; ``slot`` numbers the pieces of all documents."""
 
     def cut(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tokens = Tokens(tokenizer_path)
+        tokens = tokens_of(tokenizer_path)
         slot = TaskContext.get().partitionId() << 33
         for part in parts:
             rows = []
@@ -201,6 +210,9 @@ def evolve(size: np.ndarray, elites: list[np.ndarray], seed: int, capacity: int,
     rng = np.random.default_rng(seed)
     pool = [_bins_of(e) for e in elites]
     bound = -(-int(size.sum()) // capacity)
+    for bins in pool:
+        if len(bins) <= bound:
+            return _genome_of(bins, len(size))
     for k in range(max(0, genomes - len(pool))):
         bins: list[list[int]] = []
         # the first starts as plain best-fit decreasing, the others from a disordered half
@@ -215,6 +227,8 @@ def evolve(size: np.ndarray, elites: list[np.ndarray], seed: int, capacity: int,
                 free.append(int(capacity - size[item]))
         best_fit(bins, free, np.setdiff1d(np.arange(len(size)), some), size, capacity)
         pool.append(bins)
+        if len(bins) <= bound:  # nothing is left to gain
+            return _genome_of(bins, len(size))
     ranked = sorted(((fitness(b, size, capacity), k, b) for k, b in enumerate(pool)))[:genomes]
     for generation in range(generations):
         if ranked[0][0][0] <= bound:
