@@ -99,3 +99,33 @@ def test_boundary_vectors_are_copied():
     index = neighbours.Index(np.array([[0.0, 0.0, 1.0], [1.0, 0.0, 1.0]]), np.zeros((2, 0), int), 1.0)
     stored = [(r, c) for at, lists in index.lists_of(np.array([[0.5, 0.0], [0.1, 0.0]])) for r, c in zip(at, lists)]
     assert sorted(stored) == [(0, 0), (0, 1), (1, 0)]
+
+
+def test_a_query_id_with_several_vectors_counts_once(spark):
+    rows = clusters(4, 600)
+    rows += [(20, rows[7][1]), (20, rows[8][1]), (40, rows[9][1]), (33, rows[20][1])]
+    found, expected = run(spark, rows), brute(rows, 20, 20)
+    for q, own in found.items():
+        assert len({i for i, _ in own}) == len(own) == 20 and q not in dict(own)
+    hit = [len({i for i, _ in found[q]} & {i for i, _ in expected[q]}) / 20 for q in expected]
+    assert np.mean(hit) >= 0.9
+
+
+def test_recall_on_given_vectors(spark):
+    rows = [
+        (r["vec_id"], list(r["embedding"]))
+        for r in spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").collect()
+    ]
+    found, expected = run(spark, rows), brute_matrix(rows)
+    hit = [len({i for i, _ in found[q]} & expected[q]) / 20 for q in expected]
+    assert np.mean(hit) >= 0.9
+
+
+def brute_matrix(rows, k=20, every=20):
+    ids, x = np.array([i for i, _ in rows]), np.array([v for _, v in rows], float)
+    out = {}
+    for q in np.flatnonzero(ids % every == 0):
+        score = x @ x[q]
+        score[q] = -np.inf
+        out[int(ids[q])] = set(ids[np.lexsort((ids, -score))[:k]].tolist())
+    return out

@@ -83,3 +83,22 @@ def test_files_round_trip(spark, tmp_path):
     back = warc.read_archives(spark, f"file:{tmp_path}")
     expected = sorted(bytes(r["record"]) for r in derived.collect())
     assert sorted(bytes(r["record"]) for r in back.collect()) == expected
+
+
+def test_line_breaks_in_urls_stay_in_their_header():
+    urls = ["http://a/\r\n\r\nx", "http://a/\r\nContent-Length: 3", "http://a/\n\x00\tb", "http://a/\r\n\r\ny"]
+    ids = set()
+    for url in urls:
+        source = warc.response_record(url, PAGE)
+        head = dict(warc.parse(source)[0])
+        made = dict(warc.derivatives(source))
+        plain = dict(warc.derivatives(warc.response_record("http://a/", PAGE)))
+        for kind in ("metadata", "conversion"):
+            own, block, end = warc.parse(made[kind])
+            fields = dict(own)
+            assert end == len(made[kind]) and fields["WARC-Refers-To"] == head["WARC-Record-ID"]
+            assert not set(fields["WARC-Target-URI"]) & set("\r\n\x00\t")
+            assert kind == "metadata" or block == warc.parse(plain[kind])[1] != b""
+            ids.add(fields["WARC-Record-ID"])
+    assert len(ids) == 2 * len(urls)
+    assert warc.escaped("http://a/é%0D") == "http://a/é%0D"

@@ -290,6 +290,9 @@ def nearest(embeddings: DataFrame, is_query, k: int = NEIGHBOURS) -> DataFrame:
     return (
         own.join(best, "q")
         .where("vec_id != query_id")
+        # an id that stands in several rows has several query vectors
+        .groupBy("query_id", "vec_id")
+        .agg(F.max("score").alias("score"))
         .withColumn("rank", F.row_number().over(ranked).cast("int"))
         .where(F.col("rank") <= k)
         .select("query_id", "rank", "vec_id", "score")

@@ -8,6 +8,7 @@ type, so that a lost and repeated task writes the same records again.
 
 Defined cases
 * A null or empty payload is a response with an empty body, its conversion an empty text.
+* Control characters of a URL, line breaks among them, are percent-encoded in headers.
 * A null URL is left out of the headers; rows that repeat a page are records of their own
   with equal ids, since ids are derived from what is archived.
 * Records of other types have no derivatives. A block that does not begin with an HTTP
@@ -43,6 +44,8 @@ _BREAK = re.compile(
 _TAG = re.compile(r"<[/!?a-zA-Z][^>]*>")
 _CHARSET = re.compile(r"charset\s*=\s*[\"']?([\w.:-]+)", re.I)
 
+_CONTROL = re.compile(r"[\x00-\x1f\x7f]")
+
 Headers = list[tuple[str, str]]
 
 
@@ -109,12 +112,17 @@ def plain_text(payload: bytes, content_type: str | None) -> str:
     return "\n".join(line for line in lines if line)
 
 
+def escaped(url: str) -> str:
+    """A URL that stays in its header line: control characters are percent-encoded."""
+    return _CONTROL.sub(lambda m: f"%{ord(m.group()):02X}", url)
+
+
 def response_record(url: str | None, payload: str | None) -> bytes:
     """The response that would have been archived for a page."""
     body = (payload or "").encode("utf-8", "replace")
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(body)}\r\n\r\n"
     block = http.encode() + body
-    target = [("WARC-Target-URI", url)] if url is not None else []
+    target = [("WARC-Target-URI", escaped(url))] if url is not None else []
     payload_digest = digest(body)
     return build([
         ("WARC-Type", "response"), *target, ("WARC-Date", UNDATED),
