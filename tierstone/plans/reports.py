@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tierstone.schema import PARTITION_COLUMNS
 from tierstone.sources.inventory import data_files, file_inventory
+from tierstone.sources import versions
 from tierstone.sources.storage import list_names
 
 # List prices and limits.
@@ -27,7 +28,9 @@ GB, TB = 1024**3, 1024**4
 
 def partition_keys(spark: SparkSession, path: str) -> list[str]:
     """The partition columns of a table folder; none for a flat one."""
-    keyed = any(name.startswith(f"{PARTITION_COLUMNS[0]}=") for name in list_names(spark, path))
+    found = versions.home(spark, path)
+    names = versions.load(spark, found[0]).folders(found[1]) if found else list_names(spark, path)
+    keyed = any(name.startswith(f"{PARTITION_COLUMNS[0]}=") for name in names)
     return PARTITION_COLUMNS if keyed else []
 
 

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tierstone.schema import JOB_RUN_SCHEMA, PARTITION_COLUMNS, TRADE_SCHEMA
+from tierstone.sources import versions
+from tierstone.sources.scans import place_groups
 from tierstone.sources.storage import exists
 
 
@@ -110,13 +112,20 @@ def data_files(
             *[TRADE_SCHEMA[c] for c in keys],
         ]
     )
-    return (
-        spark.read.format("binaryFile")
-        .schema(schema)
-        .option("pathGlobFilter", "*.parquet")
-        .load(path)
-        .select(*keys, "path", F.col("length").alias("bytes"), "modificationTime")
-    )
+    reader = spark.read.format("binaryFile").schema(schema).option("pathGlobFilter", "*.parquet")
+    found = versions.home(spark, path)
+    if found is None:
+        frames = [reader.load(path)]
+    else:
+        root, table = found
+        reader = reader.option("basePath", path)
+        frames = [
+            reader.load([f"{path}/{p.at}" for p in own])
+            for own in place_groups(versions.load(spark, root).of(table))
+        ] or [reader.load(f"{root}/{versions.VERSIONS}")]  # it has no data files
+    columns = [*keys, "path", F.col("length").alias("bytes"), "modificationTime"]
+    listed = [frame.select(*columns) for frame in frames]
+    return reduce(DataFrame.unionByName, listed)
 
 
 def file_inventory(spark: SparkSession, path: str) -> DataFrame:

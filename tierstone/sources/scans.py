@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierstone.functions.dates import month_key, next_month
 from tierstone.schema import COLUMNS, LEGACY_SCHEMA, TRADE_SCHEMA
+from tierstone.sources import versions
 from tierstone.sources.storage import exists
 
 
@@ -23,11 +26,44 @@ def empty_trades(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], TRADE_SCHEMA)
 
 
-def read_trades(spark: SparkSession, path: str) -> DataFrame:
-    """A partitioned trade table; a table not written yet reads as empty."""
-    if not exists(spark, path):
-        return empty_trades(spark)
-    return spark.read.schema(TRADE_SCHEMA).parquet(path).select(*COLUMNS)
+def read_trades(
+    spark: SparkSession,
+    path: str,
+    version: versions.Version | None = None,
+    folders: Iterable[str] | None = None,
+) -> DataFrame:
+    """A partitioned trade table; a table not written yet reads as empty.
+
+    Of a table with versions the newest is read, or the given one: all of it stays as it is
+    while it is read. ``folders`` are the partition folders to read, all by default.
+    """
+    found = versions.home(spark, path)
+    if found is None:
+        if not exists(spark, path):
+            return empty_trades(spark)
+        if folders is not None:
+            places = [versions.Place("", f, f) for f in folders]
+            return read_places(spark, path, places)
+        return spark.read.schema(TRADE_SCHEMA).parquet(path).select(*COLUMNS)
+    root, table = found
+    version = version or versions.load(spark, root)
+    return read_places(spark, path, version.of(table, folders))
+
+
+def read_places(spark: SparkSession, path: str, places: list[versions.Place]) -> DataFrame:
+    """The rows of some places of the table at ``path``."""
+    frames = [
+        spark.read.schema(TRADE_SCHEMA).option("basePath", path)
+        .parquet(*[f"{path}/{p.at}" for p in own]).select(*COLUMNS)
+        for own in place_groups(places)
+    ]
+    return reduce(DataFrame.unionByName, frames) if frames else empty_trades(spark)
+
+
+def place_groups(places: list[versions.Place]) -> list[list[versions.Place]]:
+    """Places that can be read together: runs have a folder level more."""
+    groups = [p for p in places if not p.own_run], [p for p in places if p.own_run]
+    return [g for g in groups if g]
 
 
 def read_legacy(spark: SparkSession, path: str) -> DataFrame:

@@ -79,6 +79,44 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(target)] if fs.exists(target) else []
 
 
+def modified(spark: SparkSession, path: str) -> float | None:
+    """When a file or folder last changed, in seconds; None if there is none."""
+    fs, target = _filesystem(spark, path)
+    return fs.getFileStatus(target).getModificationTime() / 1000 if fs.exists(target) else None
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small text file."""
+    fs, target = _filesystem(spark, path)
+    stream = fs.open(target)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def put_new_text(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small text file in full and then give it its name; False if that is taken."""
+    fs, target = _filesystem(spark, path)
+    aside = spark._jvm.org.apache.hadoop.fs.Path(target.getParent(), f".{uuid.uuid4().hex}")
+    stream = fs.create(aside, False)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+        fs.getUri(), spark._jsc.hadoopConfiguration()
+    )
+    rename = spark._jvm.org.apache.hadoop.fs.Options.Rename
+    try:  # without the option to overwrite
+        options = spark.sparkContext._gateway.new_array(rename, 0)
+        context.rename(fs.makeQualified(aside), fs.makeQualified(target), options)
+        return True
+    except Py4JJavaError:
+        fs.delete(aside, False)
+        if fs.exists(target):
+            return False
+        raise
+
+
 def stored_bytes(spark: SparkSession, paths: list[str]) -> int:
     total = 0
     for path in paths:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
@@ -11,9 +10,10 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tierstone.schema import COLUMNS, PARTITION_COLUMNS
-from tierstone.sources.storage import delete, delete_if_empty, exists, list_names, rename
+from tierstone.sources import versions
+from tierstone.sources.scans import read_places
+from tierstone.sources.storage import delete
 
-HIDDEN = ("_", ".")
 SHUFFLE_BYTES = 128 * 1024 * 1024
 ROW_EXPANSION = 3
 FILE_BYTES = "512m"
@@ -118,10 +118,16 @@ def append_trades(df: DataFrame, path: str, keys: list[str] = PARTITION_COLUMNS)
     """Append by column name, never by position; returns the rows written.
 
     They are counted by the writing tasks themselves, after the exchange, where
-    a task that has to run again is not counted twice.
+    a task that has to run again is not counted twice. A table with versions gets a new one.
     """
     written = Observation()
-    rows = laid_out(df.select(*COLUMNS), keys).observe(written, F.count(F.lit(1)).alias("rows"))
+    rows = laid_out(df.select(*COLUMNS), keys)
+    found = versions.home(df.sparkSession, path)
+    if found:
+        places, count = stage_trades(df.sparkSession, rows, *found, keys)
+        versions.commit(df.sparkSession, found[0], [], places)
+        return count
+    rows = rows.observe(written, F.count(F.lit(1)).alias("rows"))
     _save(rows, path, "append", keys)
     return written.get["rows"]
 
@@ -161,27 +167,37 @@ def spread_by_size(
 
 
 def partition_folders(spark: SparkSession, path: str, depth: int) -> list[str]:
-    """Relative ``key=value`` folders ``depth`` levels below ``path``."""
-
-    def below(parent: str) -> list[str]:
-        names = list_names(spark, f"{path}/{parent}" if parent else path)
-        wanted = [n for n in names if "=" in n and not n.startswith(HIDDEN)]
-        return [f"{parent}/{n}" if parent else n for n in wanted]
-
-    folders = [""]
-    with ThreadPoolExecutor(FOLDER_CALLS) as pool:
-        for _ in range(depth):
-            folders = [folder for found in pool.map(below, folders) for folder in found]
-    return folders
+    """Relative ``key=value`` folders of a table's partitions, ``depth`` levels deep."""
+    found = versions.home(spark, path)
+    if found:
+        return versions.load(spark, found[0]).folders(found[1])
+    return versions.plain_folders(spark, path, depth)
 
 
 def drop_partitions(spark: SparkSession, path: str, folders: list[str]) -> None:
+    """Take out the partitions in and below some folders."""
+    found = versions.home(spark, path)
+    if found:
+        root, table = found
+        inside = tuple(f"{folder.rstrip('/')}/" for folder in folders)
+        places = versions.load(spark, root).of(table)
+        gone = [p for p in places if f"{p.folder}/".startswith(inside)]
+        if gone:
+            versions.commit(spark, root, gone, [])
+        return
     with ThreadPoolExecutor(FOLDER_CALLS) as pool:
         list(pool.map(lambda folder: delete(spark, f"{path}/{folder}"), folders))
 
 
-STAGED, READY = "_staged-", "_ready"
-PLAN = "folder string, old array<string>"
+def stage_trades(
+    spark: SparkSession, df: DataFrame, root: str, table: str, keys: list[str] = PARTITION_COLUMNS
+) -> tuple[list[versions.Place], int]:
+    """Write rows beside a table, where no reader sees them before a commit names their
+    places; returns these and the number of rows."""
+    run, written = versions.new_run(), Observation()
+    rows = df.select(*COLUMNS).observe(written, F.count(F.lit(1)).alias("rows"))
+    _save(rows, f"{versions.table_path(root, table)}/{run}", "errorifexists", keys)
+    return versions.run_places(spark, root, table, run, len(keys)), written.get["rows"]
 
 
 def replace_partitions(
@@ -191,69 +207,44 @@ def replace_partitions(
     folders: list[str],
     check: bool = True,
     keys: list[str] = PARTITION_COLUMNS,
-) -> None:
-    """Replace the files of ``folders`` that ``df`` was read from by the rows of ``df``.
+) -> versions.Version:
+    """Replace what ``df`` read in ``folders`` by the rows of ``df``, as one new version.
 
-    The new files are written in full beside the table, and with them the list of the old
-    ones; from then on the replacement is decided, and ``recover`` finishes it should the
-    run die. Until then ``recover`` takes it back. Files that arrive in a folder meanwhile
-    are not touched. A reader that lists a folder between the arrival of its new files and
-    the removal of the old ones sees both: plain folders have no switch that readers follow.
+    Readers see all of it or nothing. Rows that other jobs add to these folders meanwhile
+    stay; if one replaces or drops the same rows first, this raises ``versions.Conflict`` and
+    nothing has happened, as when the run dies. The old files stay until ``versions.vacuum``.
     """
-    recover(spark, path)
+    # files are found by name in what stands now, so df may have been planned before
+    root, table = versions.home(spark, path) or (path, "")
+    start = versions.begin(spark, root, {table: len(keys)})
     read = {file.rsplit("/", 1)[-1] for file in df.inputFiles()}
-    run = uuid.uuid4().hex
-    staged = f"{path}/{STAGED}{run}"
-    _save(df, staged, "errorifexists", keys)
+    files = versions.files_of(spark, root, start.of(table, folders))
+    old = [p for p, names in files.items() if not read.isdisjoint(names)]
+    if not old:
+        raise ValueError("the rows were not read from the partitions that they replace")
+    added, _ = stage_trades(spark, df, root, table, keys)
     if check:
-        new = spark.read.schema(df.schema).parquet(staged)
-        before, after = content_checksum(df), content_checksum(new)
+        new = read_places(spark, path, added)
+        before, after = content_checksum(df.select(*COLUMNS)), content_checksum(new)
         if before != after:
-            delete(spark, staged)
             raise RuntimeError(f"staged rows differ from their source: {before} != {after}")
-    unlisted = set(partition_folders(spark, staged, len(keys))) - set(folders)
+    unlisted = {p.folder for p in added} - set(folders)
     if unlisted:
-        delete(spark, staged)
         raise ValueError(f"rows outside the replaced partitions: {sorted(unlisted)}")
-    with ThreadPoolExecutor(FOLDER_CALLS) as pool:
-        names = list(pool.map(lambda folder: list_names(spark, f"{path}/{folder}"), folders))
-    plan = [(folder, [n for n in own if n in read]) for folder, own in zip(folders, names)]
-    spark.createDataFrame(plan, PLAN).coalesce(1).write.parquet(f"{staged}/{READY}")
-    _exchange(spark, path, run, plan)
-
-
-def recover(spark: SparkSession, path: str) -> int:
-    """Finish or take back the replacements that dead runs left; returns how many."""
-    runs = [n.removeprefix(STAGED) for n in list_names(spark, path) if n.startswith(STAGED)]
-    for run in runs:
-        ready = f"{path}/{STAGED}{run}/{READY}"
-        if exists(spark, f"{ready}/_SUCCESS"):
-            plan = [tuple(r) for r in spark.read.schema(PLAN).parquet(ready).collect()]
-            _exchange(spark, path, run, plan)
-        else:
-            delete(spark, f"{path}/{STAGED}{run}")
-    return len(runs)
-
-
-def _exchange(spark: SparkSession, path: str, run: str, plan: list[tuple[str, list[str]]]) -> None:
-    """Move new files in, then delete the old ones; safe to repeat from any point."""
-    staged = f"{path}/{STAGED}{run}"
-
-    def exchange(step: tuple[str, list[str]]) -> None:
-        folder, old = step
-        for name in list_names(spark, f"{staged}/{folder}"):
-            source, place = f"{staged}/{folder}/{name}", f"{path}/{folder}/{name}"
-            if not name.startswith(HIDDEN) and not rename(spark, source, place):
-                raise RuntimeError(f"could not move {source}; recover() goes on from here")
-        for name in old:
-            delete(spark, f"{path}/{folder}/{name}")
-        delete_if_empty(spark, f"{path}/{folder}")
-
-    with ThreadPoolExecutor(FOLDER_CALLS) as pool:
-        list(pool.map(exchange, plan))
-    # the decision goes first: what is left of a finished exchange is only waste
-    delete(spark, f"{staged}/{READY}")
-    delete(spark, staged)
+    return versions.commit(spark, root, old, added + arrived_meanwhile(spark, root, old, read))
+
+
+def arrived_meanwhile(
+    spark: SparkSession, root: str, old: list[versions.Place], read: set[str]
+) -> list[versions.Place]:
+    """Files that were appended to plain folders after these had been read: they stay."""
+    plain = [p for p in old if not p.own_run]
+    return [
+        versions.Place(p.table, p.folder, f"{p.at}/{name}")
+        for p, names in versions.files_of(spark, root, plain).items()
+        for name in names
+        if name not in read
+    ]
 
 
 def content_checksum(df: DataFrame) -> tuple[int, str]:

@@ -79,6 +79,12 @@ def defective(trades: DataFrame, name: str) -> DataFrame:
         return _change(trades, "7", "trade_date", F.date_add("trade_date", 3650))
     if name == "bad_class":
         return trades.where(F.col("asset_class") != "CRYPTO")
+    if name == "bad_empty":
+        return trades.where(F.col("trade_year") < FIRST_DAY.year)
+    if name == "bad_year":
+        return trades.where(F.col("trade_year") != FAILING_YEAR)
+    if name == "bad_id":
+        return _change(trades, "8", "trade_id", F.lit(None))
     raise ValueError(name)
 
 

@@ -106,6 +106,9 @@ DEFECT_SQL = {
     "bad_6": f"SELECT * REPLACE (CASE WHEN {_digit('6')} THEN -notional_usd ELSE notional_usd END AS notional_usd) FROM trades",
     "bad_7": f"SELECT * REPLACE (CASE WHEN {_digit('7')} THEN trade_date + 3650 ELSE trade_date END AS trade_date) FROM trades",
     "bad_class": "SELECT * FROM trades WHERE asset_class <> 'CRYPTO'",
+    "bad_empty": f"SELECT * FROM trades WHERE trade_year < {FIRST_DAY.year}",
+    "bad_year": f"SELECT * FROM trades WHERE trade_year <> {FAILING_YEAR}",
+    "bad_id": f"SELECT * REPLACE (CASE WHEN {_digit('8')} THEN NULL ELSE trade_id END AS trade_id) FROM trades",
 }
 
 
@@ -677,7 +680,7 @@ WHERE trade_date BETWEEN DATE '{YEAR}-01-01' AND DATE '{YEAR}-12-31' AND asset_c
         "stream_daily_profile": _q("SELECT trade_date, COUNT(*) AS daily_count FROM trades GROUP BY trade_date"),
     }
     # The defect each suite check must catch.
-    caught = {"V-001": [], "V-002": [], "V-003": [], "V-004": ["bad_1"], "V-005": ["bad_class"],
+    caught = {"V-001": ["bad_empty"], "V-002": ["bad_year"], "V-003": ["bad_id"], "V-004": ["bad_1"], "V-005": ["bad_class"],
               "C-001": ["bad_4"], "C-002": ["bad_2"], "C-003": ["bad_5", "bad_7"],
               "C-004": ["bad_6"], "C-005": ["bad_7"]}
     for check, key in SUITE_KEYS.items():
