@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tierstone.functions.dates import calendar_months_between
 from tierstone.functions.verdicts import verdict
 from tierstone.operators.validation import bad_direction, wrong_partition
+from tierstone.operators import wording
 from tierstone.schema import ASSET_CLASSES, COLUMNS
 
 
@@ -239,8 +240,8 @@ def preflight_source(source: DataFrame) -> DataFrame:
         ),
         verdict(
             F.col("total_rows") > 0,
-            "CHECK-4 PASS ✓  Source table has data",
-            "CHECK-4 FAIL ✗  Source table is empty — check table name",
+            wording.SOURCE_PASS,
+            wording.SOURCE_FAIL,
         ).alias("source_check"),
     )
 
@@ -252,11 +253,11 @@ def preflight_duplicates(source: DataFrame) -> DataFrame:
     ).select(
         verdict(
             extra == 0,
-            "CHECK-5 PASS ✓  No duplicate trade_id",
+            wording.COPIES_PASS,
             F.concat(
-                F.lit("CHECK-5 FAIL ✗  Duplicates: "),
+                F.lit(wording.COPIES_FAIL_BEFORE),
                 extra.cast("string"),
-                F.lit(" — fix before migrating"),
+                F.lit(wording.COPIES_FAIL_AFTER),
             ),
         ).alias("duplicate_check")
     )

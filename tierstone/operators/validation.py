@@ -13,11 +13,13 @@ from pyspark.sql import functions as F
 
 from tierstone.functions.hashing import row_hash, sample_order
 from tierstone.functions.verdicts import same_within, verdict
+from tierstone.operators import wording
 from tierstone.schema import DIRECTIONS, HASH_COLUMNS
 from tierstone.sources.scans import month_partition, month_window
 
 TOLERANCE = "0.01"
 SAMPLE_ROWS = 1000
+MOST_SAMPLED = 100_000
 DUPLICATE_LIMIT = 50
 
 # Alias and column of the NULL counts, and those the verdict uses.
@@ -73,8 +75,8 @@ def row_count(source: DataFrame, target: DataFrame) -> DataFrame:
         "result",
         verdict(
             F.col("delta") == 0,
-            "LEVEL2-1 PASS ✓",
-            F.concat(F.lit("LEVEL2-1 FAIL ✗  delta="), F.col("delta").cast("string")),
+            wording.ROWS_PASS,
+            F.concat(F.lit(wording.ROWS_FAIL), F.col("delta").cast("string")),
         ),
     )
 
@@ -90,8 +92,8 @@ def duplicate_check(target: DataFrame) -> DataFrame:
     return _key_counts(target).select(
         verdict(
             extra == 0,
-            "LEVEL2-2 PASS ✓ (no duplicate trade_id)",
-            F.concat(F.lit("LEVEL2-2 FAIL ✗  duplicates found: "), extra.cast("string")),
+            wording.UNIQUE_PASS,
+            F.concat(F.lit(wording.UNIQUE_FAIL), extra.cast("string")),
         ).alias("result")
     )
 
@@ -134,7 +136,7 @@ def notional_sum(source: DataFrame, target: DataFrame) -> DataFrame:
     )
     return summed.withColumn(
         "abs_delta", F.abs(F.col("src_notional") - F.col("tgt_notional")).cast("decimal(33,4)")
-    ).withColumn("result", verdict(agree, "LEVEL3-1 PASS ✓", "LEVEL3-1 FAIL ✗"))
+    ).withColumn("result", verdict(agree, wording.SUMS_PASS, wording.SUMS_FAIL))
 
 
 def null_check(target: DataFrame) -> DataFrame:
@@ -146,8 +148,8 @@ def null_check(target: DataFrame) -> DataFrame:
         "result",
         verdict(
             clean,
-            "LEVEL3-2 PASS ✓",
-            "LEVEL3-2 FAIL ✗  unexpected NULLs in NOT NULL columns",
+            wording.NULLS_PASS,
+            wording.NULLS_FAIL,
         ),
     )
 
@@ -221,6 +223,15 @@ def sample_ids(source: DataFrame, rows: int = SAMPLE_ROWS, seed: int = 42) -> Da
     return source.orderBy(sample_order(seed=seed), "trade_id").limit(rows).select("trade_id")
 
 
+def drawn(sample: DataFrame) -> DataFrame:
+    """The sampled ids, drawn once for several look-ups: a local table, ``MOST_SAMPLED`` lines
+    at most."""
+    ids = sample.limit(MOST_SAMPLED + 1).collect()
+    if len(ids) > MOST_SAMPLED:
+        raise ValueError(f"a sample of more than {MOST_SAMPLED} ids is no sample")
+    return sample.sparkSession.createDataFrame(ids, sample.schema)
+
+
 def hashed_rows(table: DataFrame, sample: DataFrame) -> DataFrame:
     """Row hashes of the sampled ids; the sample is at most ``SAMPLE_ROWS`` ids."""
     return (
@@ -259,16 +270,16 @@ def sample_hash_check(source: DataFrame, target: DataFrame, sample: DataFrame) -
         "result",
         verdict(
             (F.col("mismatched_rows") == 0) & (F.col("missing_in_target") == 0),
-            failed="LEVEL5 FAIL ✗  Hash or row mismatches detected",
+            failed=wording.SAMPLE_FAIL,
         ),
     ).withColumn(
         "result",
         F.when(
             F.col("result") == "PASS",
             F.concat(
-                F.lit("LEVEL5 PASS ✓  All "),
+                F.lit(wording.SAMPLE_PASS_BEFORE),
                 F.col("total_sampled").cast("string"),
-                F.lit(" sampled rows match"),
+                F.lit(wording.SAMPLE_PASS_AFTER),
             ),
         ).otherwise(F.col("result")),
     )
@@ -422,7 +433,8 @@ def validate_partition(
         F.inline(F.array(_line(2, "V2.2", verdict(surplus == 0), target=col("rows"), delta=surplus)))
     )
     unmatched = col("mismatched_rows") + col("missing_in_target")
-    hashes = sample_hash_check(source, target, sample_ids(src, sample_rows, seed)).select(
+    sample = drawn(sample_ids(src, sample_rows, seed))
+    hashes = sample_hash_check(source, target, sample).select(
         F.inline(
             F.array(
                 _line(
@@ -473,9 +485,9 @@ def sign_off(year: int, month: int, checked: DataFrame) -> DataFrame:
     name = F.concat(F.lit(str(year)), F.lit("-"), F.lpad(F.lit(str(month)), 2, "0"))
     return checked.agg(F.count(F.lit(1)).alias("rows_checked")).select(
         F.concat(
-            F.lit("Validation complete for partition "),
+            F.lit(wording.SIGN_OFF_BEFORE),
             name,
-            F.lit(". Review all individual PASS/FAIL results above before proceeding."),
+            F.lit(wording.SIGN_OFF_AFTER),
         ).alias("sign_off_reminder"),
         "rows_checked",
     )
