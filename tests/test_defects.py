@@ -105,6 +105,11 @@ def test_suite_runs_every_check_and_reports(spark, trades, folder):
     )
     summary = suite.suite_summary(checks).first()
     assert (summary.total_checks, summary.passed, summary.failed, summary.result) == (18, 17, 1, "FAIL")
+    early = suite.validate_migration(
+        trades, unified_trades(*split_tiers(trades, AS_OF)), log,
+        FIRST_DAY, LAST_DAY, AS_OF, found, fail_fast=True,
+    )
+    assert [r["check_id"] for r in early.collect()] == ["S-001", "S-002", "S-003", "S-004"]
     suite.write_report(checks, f"{folder}/report")
     assert spark.read.json(f"{folder}/report").count() == 18
 

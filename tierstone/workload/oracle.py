@@ -363,6 +363,14 @@ def _suite_check(check: str):
     return lambda t: _line(check, text, observed, rule, t)
 
 
+def _suite_summary(table: str) -> str:
+    checks = [c for c in SUITE if c in SUITE_KEYS]
+    lines = "\nUNION ALL\n".join(f"({_suite_check(c)(table)})" for c in checks)
+    return f"""SELECT COUNT(*) AS total_checks, COUNT(*) FILTER (WHERE result = 'PASS') AS passed,
+  COUNT(*) FILTER (WHERE result <> 'PASS') AS failed,
+  CASE WHEN COUNT(*) FILTER (WHERE result <> 'PASS') = 0 THEN 'PASS' ELSE 'FAIL' END AS result FROM ({lines})"""
+
+
 LOG = f"""log AS (SELECT 'TRADES_COLD_LEGACY' AS source_table, 'TRADES_COLD' AS target_table,
   make_date(trade_year, trade_month, 1) AS partition_start,
   last_day(make_date(trade_year, trade_month, 1)) AS partition_end,
@@ -644,6 +652,7 @@ WHERE {_in_month()} GROUP BY asset_class""", _SRC),
         "q001_view_rows": _q(_q001()),
         "q002_pruned": _q(_q002()),
         "validation_suite": _suite(),
+        "suite_summary": _per_target(["clean", "bad_2", "bad_id"], _suite_summary, window=False),
         "preflight_source": _q("""SELECT COUNT(*) AS total_rows, MIN(trade_date) AS earliest_date,
   MAX(trade_date) AS latest_date,
   CAST(datediff('month', MIN(trade_date), MAX(trade_date)) + 1 AS INT) AS months_to_migrate,

@@ -469,6 +469,15 @@ def _suite_queries() -> dict[str, Query]:
         "q001_view_rows": _on(lambda h: suite.check_view(_unified(h), FIRST_DAY)),
         "q002_pruned": _on(lambda h: suite.check_pruned(h.trades, FIRST_DAY)),
         "validation_suite": _on(_suite),
+        "suite_summary": _target_only(
+            ["clean", "bad_2", "bad_id"],
+            lambda t: suite.suite_summary(
+                suite.check_table(t, FIRST_DAY, LAST_DAY, AS_OF).unionByName(
+                    suite.check_unique(t, FIRST_DAY, LAST_DAY)
+                )
+            ),
+            window=False,
+        ),
         "preflight_source": _on(lambda h: suite.preflight_source(h.legacy)),
         "preflight_duplicates": _target_only(
             ["clean", "bad_1"], suite.preflight_duplicates, window=False
