@@ -130,3 +130,11 @@ def test_edges(spark):
         assert [own[doc_id][f"n_{k}"] for k in secrets.KINDS[:3]] == [sum(s[0] == k for s in base) for k in secrets.KINDS[:3]]
         assert set(filter(None, own[doc_id]["base"].split(","))) <= set(own[doc_id]["spans"].split(","))
     assert secrets.find_secrets(no_docs(spark)).count() == 0
+
+
+def test_counts_are_of_kinds_not_of_places(spark):
+    texts = ["a" * 32 + " AKIA" + "Z" * 12, "AKIA" + "Z" * 12 + " " + "b" * 40 + " " + "c" * 33,
+             "token=abcdefghij " * 4, "none", None]
+    found = secrets.find_secrets(edge_docs(spark, list(enumerate(texts)))).collect()
+    own = {r["doc_id"]: (r["n_assign"], r["n_access"], r["n_hex"]) for r in found}
+    assert own == {0: (0, 1, 1), 1: (0, 1, 2), 2: (4, 0, 0), 3: (0, 0, 0), 4: (0, 0, 0)}

@@ -249,6 +249,11 @@ def search(docs: DataFrame, null: np.ndarray) -> DataFrame:
     ).select("doc_id", "f.*")
 
 
+def _of_kind(spans: str, kind: int) -> Column:
+    # a second parameter of the lambda would be the span's place in the array
+    return F.size(F.filter(spans, lambda x: x["kind"] == kind)).cast("long")
+
+
 def _joined(spans: Column) -> Column:
     names = F.array(*map(F.lit, KINDS))
     return F.array_join(
@@ -274,10 +279,7 @@ def find_secrets(docs: DataFrame, share: float = FALSE_SHARE) -> DataFrame:
         F.filter("loose", lambda x: x["rank"] <= limit[x["class"]]),
         lambda x: F.struct(x["a"].alias("a"), x["kind"].alias("kind"), x["b"].alias("b")),
     )
-    counts = [
-        F.size(F.filter("base", lambda x, k=k: x["kind"] == k)).cast("long").alias(f"n_{name}")
-        for k, name in enumerate(KINDS[:3])
-    ]
+    counts = [_of_kind("base", k).alias(f"n_{name}") for k, name in enumerate(KINDS[:3])]
     return found.select("doc_id", *counts, "base", added.alias("added")).select(
         "doc_id",
         *(f"n_{name}" for name in KINDS[:3]),
