@@ -36,3 +36,22 @@ def test_write_tasks_are_small_beside_three_others(spark):
         wide = spark.conf.get(name)
     assert (int(narrow.rstrip("m")), int(wide.rstrip("m"))) <= (64, 128)
     assert int(writer.READ_BYTES.rstrip("m")) <= 64
+
+
+def test_bits_split_a_table_and_lose_no_match(spark):
+    ids = spark.range(2000).select(F.col("id").cast("string").alias("trade_id"))
+    ids = ids.unionByName(spark.createDataFrame([(None,)], "trade_id string"))
+    some = ids.where("trade_id % 10 = 0")
+    bits = joins.hash_bits(some, ["trade_id"])
+    near, apart = (joins.with_bits(ids, bits, ["trade_id"], h) for h in ("left_semi", "left_anti"))
+    assert near.count() + apart.count() == 2001 and near.columns == ["trade_id"]
+    assert near.join(some, "trade_id").count() == 200 and apart.join(some, "trade_id").count() == 0
+    assert near.count() < 250
+
+
+def test_promotion_filters_the_target_before_the_exact_join(spark):
+    batch = trade_rows(spark, ["a", "b", "b", None], DAY)
+    target = trade_rows(spark, ["a", "x", None], DAY)
+    moved = joins.new_trades(batch, target)
+    assert sorted(str(r.trade_id) for r in moved.collect()) == ["None", "b", "b"]
+    assert "bit_or" in moved._jdf.queryExecution().optimizedPlan().toString()
