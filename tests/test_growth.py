@@ -49,6 +49,19 @@ def test_bits_split_a_table_and_lose_no_match(spark):
     assert near.count() < 250
 
 
+def test_wide_rows_that_no_change_touches_do_not_cross_a_shuffle(spark, monkeypatch):
+    current = trade_rows(spark, ["a", "a", "b", "c", None], DAY)
+    changes = trade_rows(spark, ["b", None], DAY).withColumn("trade_status", F.lit("AMENDED"))
+    changes = changes.withColumn("updated_at", F.expr("created_at + INTERVAL 1 DAY"))
+    rows = joins.upsert_trades(current, changes).select("trade_id", "trade_status").collect()
+    assert sorted(map(tuple, rows), key=str) == sorted(
+        [("a", "NEW"), ("a", "NEW"), ("b", "AMENDED"), ("c", "NEW"), (None, "NEW"), (None, "AMENDED")],
+        key=str,
+    )
+    plan = joins.upsert_trades(current, changes)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("bit_or") >= 2  # in both parts of the split
+
+
 def test_promotion_filters_the_target_before_the_exact_join(spark):
     batch = trade_rows(spark, ["a", "b", "b", None], DAY)
     target = trade_rows(spark, ["a", "x", None], DAY)
