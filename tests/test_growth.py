@@ -68,3 +68,19 @@ def test_promotion_filters_the_target_before_the_exact_join(spark):
     moved = joins.new_trades(batch, target)
     assert sorted(str(r.trade_id) for r in moved.collect()) == ["None", "b", "b"]
     assert "bit_or" in moved._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_month_ids_are_counted_apart_from_the_sums(spark):
+    hexes = ["00ff", "00FF", "00ff", "0ff", "", "\x01ff", None, "0001", "01"]
+    source = trade_rows(spark, hexes, DAY)
+    other = trade_rows(spark, ["k"], DAY).withColumn("trade_year", F.lit(None).cast("int"))
+    line = {r.trade_year: r for r in validation.validate_all_partitions(source, source.unionByName(other)).collect()}
+    assert (line[1998].target_rows, line[1998].target_ids, line[1998].result) == (9, 7, "FAIL")
+    assert (line[None].source_rows, line[None].target_rows, line[None].target_ids) == (0, 1, 1)
+    good = trade_rows(spark, ["a", "b"], DAY)
+    assert [r.result for r in validation.validate_all_partitions(good, good).collect()] == ["PASS"]
+    alone = validation.validate_all_partitions(good, good)
+    plan = alone._jdf.queryExecution().optimizedPlan().toString()
+    assert not [x for x in plan.splitlines() if "Aggregate" in x and "unhex" in x and "sum(" in x]
+    size = F.length(validation.short_id())
+    assert spark.createDataFrame([("0f" * 16,)], "trade_id string").select(size).first()[0] == 17
