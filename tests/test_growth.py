@@ -84,3 +84,15 @@ def test_month_ids_are_counted_apart_from_the_sums(spark):
     assert not [x for x in plan.splitlines() if "Aggregate" in x and "unhex" in x and "sum(" in x]
     size = F.length(validation.short_id())
     assert spark.createDataFrame([("0f" * 16,)], "trade_id string").select(size).first()[0] == 17
+
+
+def test_a_copied_cold_tier_promotes_like_a_written_one(spark, folder):
+    cold = trade_rows(spark, ["a", "b", "c"], DAY)
+    writer.write_trades(cold, f"{folder}/written")
+    writer.copy_trades(scans.read_trades(spark, f"{folder}/written"), f"{folder}/copied", sort=True)
+    got = scans.read_trades(spark, f"{folder}/copied")
+    assert texts(got) == texts(cold)
+    late = trade_rows(spark, ["c", "d"], DAY)
+    empty = cold.where("false")
+    p = tiers.promote_tiers(late, empty, got, DAY + dt.timedelta(days=200))
+    assert [r.rows_promoted for r in p.report().orderBy("tier").collect()] == [2, 1]
