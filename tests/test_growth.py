@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tests_rows import order_tables, trade_rows
 from tierstone.operators import joins, tiers, validation
-from tierstone.schema import COLUMNS
+from tierstone.plans import migration
+from tierstone.schema import COLUMNS, PARTITION_COLUMNS
 from tierstone.sources import scans, writer
+from tierstone.sources.inventory import data_files
 from tierstone.sources.storage import exists
 from tierstone.workload import trades
 
@@ -95,3 +99,41 @@ def test_a_copied_cold_tier_promotes_like_a_written_one(spark, folder):
     empty = cold.where("false")
     p = tiers.promote_tiers(late, empty, got, DAY + dt.timedelta(days=200))
     assert [r.rows_promoted for r in p.report().orderBy("tier").collect()] == [2, 1]
+
+
+def test_the_target_is_written_from_the_snapshot_without_a_shuffle(spark, folder, monkeypatch):
+    days = [DAY, DAY + dt.timedelta(days=40), DAY + dt.timedelta(days=70)]
+    ids = ["a", "b", "b", "c", None, "d"] * 20
+    rows = reduce(DataFrame.unionByName, [trade_rows(spark, ids, day) for day in days])
+    rows = rows.withColumn("asset_class", F.when(F.col("trade_id") == "a", "RATES").when(F.col("trade_id") != "b", "A/B"))
+    writer.copy_trades(rows.repartition(5), f"{folder}/copy")
+    many = data_files(spark, f"{folder}/copy").count()
+    gathered = writer.gathered_copy(spark, f"{folder}/copy")
+    assert texts(gathered) == texts(rows)
+    assert "Exchange" not in gathered._jdf.queryExecution().executedPlan().toString()
+    assert writer.append_laid_out(gathered, f"{folder}/target") == rows.count()
+    files = data_files(spark, f"{folder}/target").count()
+    assert files == rows.select(*PARTITION_COLUMNS).distinct().count() < many
+    assert texts(scans.read_trades(spark, f"{folder}/target")) == texts(rows)
+
+    def no_shuffle(rows, path):
+        assert "Exchange" not in rows._jdf.queryExecution().executedPlan().toString()
+        return writer.append_laid_out(rows, path)
+
+    monkeypatch.setattr(migration, "append_trades", no_shuffle)
+    paths = migration.MigrationPaths(f"{folder}/lake")
+    good = reduce(DataFrame.unionByName, [trade_rows(spark, ["a", "b"], day) for day in days])
+    log = migration.migrate_range(spark, good, paths, DAY, days[-1])
+    assert [r.status for r in log.collect()] == ["COMPLETED"] * 3
+    assert texts(migration.migrated(spark, paths)) == texts(good)
+
+
+def test_a_large_folder_of_a_copy_is_read_by_several_tasks(spark, folder, monkeypatch):
+    monkeypatch.setattr(writer, "READ_BYTES", "1m")
+    size = 3 * 1024 * 1024
+    monkeypatch.setattr(writer, "stored_bytes", lambda spark, paths: size)
+    rows = trade_rows(spark, [str(k) for k in range(400)], DAY)
+    writer.copy_trades(rows.repartition(8), f"{folder}/copy")
+    gathered = writer.gathered_copy(spark, f"{folder}/copy")
+    assert "Coalesce 3" in gathered._jdf.queryExecution().executedPlan().toString()
+    assert texts(gathered) == texts(rows)

@@ -13,10 +13,11 @@ from pyspark.sql import functions as F
 from tierstone.functions.dates import month_key, months_in_range, next_month
 from tierstone.operators.validation import validate_all_partitions
 from tierstone.plans.compaction import compact
-from tierstone.schema import COLUMNS, MIGRATION_LOG_SCHEMA
+from tierstone.schema import COLUMNS, MIGRATION_LOG_SCHEMA, PARTITION_COLUMNS
 from tierstone.sources.scans import date_window, read_trades, with_partition_columns
 from tierstone.sources.storage import delete, exists
-from tierstone.sources.writer import append_trades, copy_trades, drop_partitions
+from tierstone.sources.writer import append_laid_out as append_trades
+from tierstone.sources.writer import copy_trades, drop_partitions, gathered_copy, laid_out
 
 SOURCE_TABLE = "TRADES_COLD_LEGACY"
 TARGET_TABLE = "TRADES_COLD"
@@ -156,7 +157,8 @@ def migrate_months(
     """Migrate a set of months as one job; True when all of them are complete.
 
     The source is copied first and only the copy is migrated and validated, so
-    writes that reach the source meanwhile cannot make the counts differ.
+    writes that reach the source meanwhile cannot make the counts differ. The copy
+    lies in partition folders, from which the target is written without a shuffle.
     ``copy_snapshot=False`` trusts the frame's own file list instead, for a
     source whose files are never rewritten. Months already completed in the log
     are skipped; leftovers of a failed attempt are dropped before the insert.
@@ -171,10 +173,13 @@ def migrate_months(
         delete(spark, copy)
         copy_trades(snapshot, copy)
         snapshot = read_trades(spark, copy)
+        rows = gathered_copy(spark, copy)
+    else:
+        rows = laid_out(snapshot, PARTITION_COLUMNS)
     drop_partitions(
         spark, paths.target, [f"trade_year={m.year}/trade_month={m.month}" for m in pending]
     )
-    append_trades(with_partition_columns(snapshot), paths.target)
+    append_trades(rows, paths.target)
     target = _in_partitions(read_trades(spark, paths.target), pending)
     outcomes = _outcomes(spark, snapshot, target, pending, validate)
     log_rows(outcomes).coalesce(1).write.mode("append").parquet(paths.log)
