@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from edge import edge_docs, edge_rows, no_docs
 
-from tierstone.llm.substrings import LENGTH, remove_repeats
+from tierstone.llm.substrings import LENGTH, Chunk, remove_repeats
 
 
 def brute(rows):
@@ -63,3 +63,16 @@ def test_large_groups_of_near_copies(spark):
 
 def test_empty_table(spark):
     assert run(no_docs(spark)) == []
+
+
+def test_anchors_are_sought_once(monkeypatch):
+    rng = random.Random(4)
+    texts = ["".join(rng.choice("ab\x00é") for _ in range(n)).encode() for n in (0, 300, 12, 49, 50, 700)]
+    first = Chunk(texts)
+    monkeypatch.setattr(Chunk, "_find", lambda self: pytest.fail("sought again"))
+    again = Chunk(texts, first.marks)
+    for name in ("anchors", "of_string", "strings", "buckets"):
+        assert np.array_equal(getattr(first, name), getattr(again, name)), name
+    assert len(first.strings) == sum(max(len(t) - LENGTH + 1, 0) for t in texts)
+    inside = first.anchors[first.of_string] - first.strings
+    assert inside.min() >= 0 and inside.max() <= 26

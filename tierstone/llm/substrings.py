@@ -13,7 +13,8 @@ buckets, so equal strings have equal anchors.
    its strings repeat. So is a bucket with one refined bucket.
 3. What is left, the ends of repeated passages, is refined string by string.
 
-Texts are stored in blocks of bounded size, which never move. In each step a block sends
+Texts are stored in blocks of bounded size, which never move, with the places of their anchors,
+which are sought once. In each step a block sends
 the sorted, distinct identifiers with the smallest doc_id of each to the tasks that own
 their range, and gets one bit for each back. So a string that a third of all documents hold
 reaches a task once a block.
@@ -56,56 +57,77 @@ _MIX = [(U(0xFF51AFD7ED558CCD), U(0xC4CEB9FE1A85EC53)), (U(0x9FB21C651E98DF25),
 def _refined(a: np.ndarray, b: np.ndarray, family: int = 0) -> np.ndarray:
     """Identifiers of the buckets that hold a and, at the later offset, b."""
     one, two = _MIX[family]
-    x = (a * one) ^ (b + two)
-    x ^= x >> U(32)
+    x, y = a * one, b + two
+    x ^= y
+    x ^= np.right_shift(x, U(32), out=y)
     x *= two
-    x ^= x >> U(29)
+    x ^= np.right_shift(x, U(29), out=y)
     return x
 
 
 class Chunk:
-    """Anchors and strings of some texts, laid out with padding between them."""
+    """Anchors and strings of some texts, laid out with padding between them.
 
-    def __init__(self, texts: list[bytes]):
+    ``marks`` are those of the same texts, if known: where the anchors are is then not sought
+    again.
+    """
+
+    def __init__(self, texts: list[bytes], marks: bytes | None = None):
         sizes = np.array([len(t) for t in texts], dtype=np.int64)
         self.starts = PAD + np.concatenate([[0], np.cumsum(sizes + PAD)[:-1]]).astype(np.int64)
         room = int(sizes.sum()) + PAD * (len(texts) + 1)
         room += -room % 8 + 8
         self.raw = np.zeros(room, dtype=np.uint8)
-        inside = np.zeros(room, dtype=np.int32)
+        inside = np.zeros(room, dtype=np.uint8)
         for at, text in zip(self.starts.tolist(), texts):
             self.raw[at : at + len(text)] = np.frombuffer(text, np.uint8)
             inside[at : at + len(text)] = 1
-        self.sizes, self.inside = sizes, inside
+        self.sizes = sizes
         words = np.empty(room - 8, dtype=U)
         for r in range(8):
             own = words[r::8]
             own[:] = self.raw[r : r + 8 * len(own)].view("<u8")
-        within = np.concatenate([[0], np.cumsum(inside, dtype=np.int64)])
-        edge = np.flatnonzero((missing := 8 - (within[8:-1] - within[:-9])) > 0)
+        held = inside
+        for width in (1, 2, 4):
+            held = held[:-width] + held[width:]
+        edge = np.flatnonzero((missing := 8 - held[:-1]) > 0)
         words[edge] = _refined(words[edge], missing[edge].astype(U), 1)
         self.words = words
-        self._find(within)
+        each = np.maximum(sizes - (LENGTH - 1), 0)
+        self.strings = np.repeat(self.starts - np.cumsum(each) + each, each) + np.arange(each.sum())
+        self._place(marks or self._find())
 
-    def _find(self, within: np.ndarray) -> None:
+    def _find(self) -> bytes:
+        """For each anchor how many strings after the one before its first string comes, then
+        for each how far inside that string it is: both at most ``SPAN``."""
         depth16 = _refined(self.words[:-8], self.words[8:])
         depth24 = _refined(depth16[:-8], self.words[16:])
         n = len(depth24) - SIDE
         place = np.arange(len(depth24), dtype=U)
-        low = ~U(63)
-        first, second = (self._least((depth24 & low) | ((place + U(s)) & U(63)), n) for s in (0, 32))
+        depth24 &= ~U(63)
+        first, second = (self._least(depth24 | ((place + U(s)) & U(63)), n) for s in (0, 32))
         # of equal buckets in a string the first counts: pick the key that does not wrap in it
-        at = place[:n]
-        wraps = (at & U(63)) > U(63 - SIDE)
-        step = np.where(wraps, (second & U(63)) - U(32), first & U(63)) - at
-        anchor = (at + (step & U(63))).astype(np.int64)
-        self.strings = np.flatnonzero(within[LENGTH : LENGTH + n] - within[:n] == LENGTH)
-        anchor = anchor[self.strings]
+        at = self.strings
+        own = at & 63
+        wraps = own > 63 - SIDE
+        least = np.where(wraps, second[at] - U(32), first[at]).astype(np.int64)
+        inside = (least - own) & 63
+        anchor = at + inside
         new = np.ones(len(anchor), dtype=bool)
         new[1:] = anchor[1:] != anchor[:-1]
-        self.anchors = anchor[new]
-        self.of_string = np.cumsum(new) - 1
-        self.buckets = depth24[self.anchors]
+        begin = np.flatnonzero(new)
+        marks = np.diff(begin, prepend=0), inside[begin]
+        return b"".join(m.astype(np.uint8).tobytes() for m in marks)
+
+    def _place(self, marks: bytes) -> None:
+        steps, inside = np.frombuffer(marks, np.uint8).astype(np.int64).reshape(2, -1)
+        begin = np.cumsum(steps)
+        self.marks = marks
+        self.anchors = self.strings[begin] + inside
+        self.of_string = np.repeat(
+            np.arange(len(begin)), np.diff(begin, append=len(self.strings)) if len(begin) else begin
+        )
+        self.buckets = self.deep(self.anchors, GRAM, 0)
 
     @staticmethod
     def _least(key: np.ndarray, n: int) -> np.ndarray:
@@ -130,7 +152,7 @@ class Groups:
     """Rows that share all keys, numbered in the order of the keys."""
 
     def __init__(self, keys: list[np.ndarray], doc: np.ndarray):
-        order = np.lexsort([doc, *keys[::-1]])
+        order = np.lexsort(keys[::-1]) if len(keys) > 1 else np.argsort(keys[0])
         new = np.zeros(len(order), dtype=bool)
         new[:1] = True
         for key in keys:
@@ -140,27 +162,35 @@ class Groups:
         self.of = np.empty(len(order), dtype=np.int64)
         self.of[order] = np.cumsum(new) - 1
         self.keys = [key[order][self.first] for key in keys]
-        self.least = doc[order][self.first]
-        last = np.append(self.first[1:], len(order)) - 1 if len(order) else self.first
-        self.most = doc[order][last]
+        own = doc[order]
+        self.least, self.most = (
+            f.reduceat(own, self.first) if len(own) else own for f in (np.minimum, np.maximum)
+        )
+
+
+def _cut(sizes: list[int]) -> list[tuple[int, int]]:
+    """The texts, from and to, of each chunk of a block."""
+    cuts, begin, held = [], 0, 0
+    for k, size in enumerate(sizes):
+        held += size
+        if held >= CHUNK_BYTES or k + 1 == len(sizes):
+            cuts.append((begin, k + 1))
+            begin, held = k + 1, 0
+    return cuts
 
 
 class Block:
     """The texts of a stored block, and what the steps so far have settled."""
 
-    def __init__(self, docs, sizes, body: bytes, bits: list[dict], parts: int):
+    def __init__(self, docs, sizes, body: bytes, marks: list[bytes], bits: list[dict], parts: int):
         ids = [NO_ID if d is None else d for d in docs]
         self.doc = np.array(ids, dtype=np.int64)
         self.parts = parts
         cuts = np.concatenate([[0], np.cumsum(np.array(sizes, dtype=np.int64))]).astype(int)
         texts = [body[a:b] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
-        self.chunks, self.at, begin, held = [], [], 0, 0
-        for k, text in enumerate(texts):
-            held += len(text)
-            if held >= CHUNK_BYTES or k + 1 == len(texts):
-                self.chunks.append(Chunk(texts[begin : k + 1]))
-                self.at.append(begin)
-                begin, held = k + 1, 0
+        chunks = _cut(sizes)
+        self.chunks = [Chunk(texts[a:b], known) for (a, b), known in zip(chunks, marks)]
+        self.at = [a for a, _ in chunks]
         self.bucket = self._all(lambda c: c.buckets)
         self.owner = self._all(lambda c: c.text_of(c.anchors), ids=True)
         self.buckets = Groups([self.bucket], self.owner)
@@ -343,9 +373,12 @@ class Blocks:
             docs, texts, held = [], [], 0
 
             def block():
-                names = ["block", "docs", "sizes", "body"]
-                values = [[number], [docs], [[len(t) for t in texts]], [b"".join(texts)]]
-                kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary()]
+                sizes = [len(t) for t in texts]
+                marks = [Chunk(texts[a:b]).marks for a, b in _cut(sizes)]
+                names = ["block", "docs", "sizes", "body", "marks"]
+                values = [[number], [docs], [sizes], [b"".join(texts)], [marks]]
+                longs = pa.list_(pa.int64())
+                kinds = [pa.int64(), longs, longs, pa.binary(), pa.list_(pa.binary())]
                 columns = [pa.array(v, k) for v, k in zip(values, kinds)]
                 return pa.RecordBatch.from_arrays(columns, names)
 
@@ -363,7 +396,7 @@ class Blocks:
 
         source = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
         blocks = source.mapInArrow(
-            gathered, "block long, docs array<long>, sizes array<long>, body binary"
+            gathered, "block long, docs array<long>, sizes array<long>, body binary, marks array<binary>"
         )
         self.name = f"text_blocks_{uuid.uuid4().hex}"
         (
@@ -393,7 +426,7 @@ class Blocks:
                         )
                         for step in range(steps)
                     ]
-                    block = Block(row["docs"], row["sizes"], row["body"], bits, parts)
+                    block = Block(row["docs"], row["sizes"], row["body"], row["marks"], bits, parts)
                     rows = use(block, row)
                     if rows:
                         yield pa.RecordBatch.from_pylist(rows, schema=kinds)
