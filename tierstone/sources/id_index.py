@@ -21,6 +21,8 @@ from tierstone.sources.versions import Place, Version
 BUCKETS = 64
 #: Places of a bucket before they are written anew as one.
 MOST_PLACES = 16
+#: Entries that are written at once; their shuffle is about a gigabyte.
+SLICE_ENTRIES = 16_000_000
 SCHEMA = "trade_id string, trade_date date, bucket int"
 
 
@@ -71,9 +73,11 @@ class IdIndex:
         return entries_of(rows)
 
     def stage(
-        self, spark: SparkSession, now: Version, entries: DataFrame
+        self, spark: SparkSession, now: Version, entries: DataFrame, rows: int = 0
     ) -> tuple[list[Place], list[Place]]:
-        """Write entries; returns the places added and, of buckets folded with them, removed."""
+        """Write entries, about ``rows`` of them; returns the places added and, of buckets folded
+        with them, removed. Many are written some buckets at a time, so that the disk of their
+        shuffle is bounded."""
         per_bucket: dict[str, list[Place]] = {}
         for place in now.of(self.entries):
             per_bucket.setdefault(place.folder, []).append(place)
@@ -81,11 +85,17 @@ class IdIndex:
         if full:
             folded = self._at(spark, full).select("trade_id", "trade_date")
             entries = entries.unionByName(folded).distinct()
-        run = versions.new_run()
         keyed = entries.withColumn("bucket", bucket_of(F.col("trade_id")))
-        spread = keyed.hint("rebalance", "bucket").sortWithinPartitions("bucket", "trade_id")
-        spread.write.partitionBy("bucket").parquet(f"{self.path}/{run}")
-        return versions.run_places(spark, self.root, self.entries, run, 1), full
+        parts = min(BUCKETS, -(-rows // SLICE_ENTRIES) or 1)
+        added: list[Place] = []
+        for part in range(parts):
+            run = versions.new_run()
+            own = keyed.where(F.col("bucket") % parts == part) if parts > 1 else keyed
+            spread = own.hint("rebalance", "bucket").sortWithinPartitions("bucket", "trade_id")
+            writer = spread.write.option("compression", "zstd").partitionBy("bucket")
+            writer.parquet(f"{self.path}/{run}")
+            added += versions.run_places(spark, self.root, self.entries, run, 1)
+        return added, full
 
     def cover(self, places: Iterable[Place]) -> list[Place]:
         """What the version says of places of the tier whose rows are indexed."""
